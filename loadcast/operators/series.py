@@ -88,14 +88,18 @@ def blocked(
     """Add row-frame columns to ``df``, equal to a window over the whole series.
 
     ``columns`` maps an ordered window to columns whose frames reach at most ``back`` rows
-    back, and one row ahead if ``ahead``.  ``numbered`` adds ``_position`` (0-based place in
+    back, and one row ahead if ``ahead``.  Rows without a key or time belong to no series and
+    are left out.  ``numbered`` adds ``_position`` (0-based place in
     the series) and ``_total`` (rows of the series).
     """
     names = df.columns
+    # Same explicit filter on both branches and no inner join, whose inferred filters would
+    # differ: an expensive input is then shuffled once and its exchange reused.
+    df = df.filter(F.col(s.key).isNotNull() & F.col(s.ts).isNotNull())
     placement = _block_map(chunk_index(df, s), s, back, ahead)
     rows = (
         df.withColumn("_chunk", s.chunk)
-        .join(placement, [s.key, "_chunk"])
+        .join(placement, [s.key, "_chunk"], "left")
         .withColumn("_block", F.explode("_blocks"))
     )
     w = Window.partitionBy(s.key, "_block").orderBy(s.ts)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loadcast.functions.time import calendar_columns
 from loadcast.operators import joins, quality, reshape, rolling, splits
 from loadcast.operators.series import Series
+from loadcast.session import materialise
 
 
 def demand_features(demand: DataFrame, s: Series, target: bool = False) -> DataFrame:
@@ -35,12 +36,15 @@ def training_rows(view: DataFrame, s: Series) -> DataFrame:
 
     Incomplete rows go before ``forecast`` does, so a missing forecast removes a row although
     the model never sees it; each region loses its last row, which has no target.
+
+    The view is written once: the target pass reads its input twice (chunk index and rows), and
+    must not repeat the point-in-time join for it.
     """
-    with_target = rolling.add_target(reshape.drop_for_training(view), s)
-    return quality.drop_incomplete(with_target)
+    known = materialise(reshape.drop_for_training(view), "view")
+    return quality.drop_incomplete(rolling.add_target(known, s))
 
 
 def training_split(view: DataFrame, s: Series, test_size: float = 0.2) -> DataFrame:
     rows = training_rows(view, s).drop("forecast")
-    whole = {"target": F.col("target").cast("bigint")}
-    return splits.chrono_split(rows.withColumns(whole), s, test_size)
+    whole = rows.withColumn("target", F.col("target").cast("bigint"))
+    return splits.chrono_split(materialise(whole, "rows"), s, test_size)
