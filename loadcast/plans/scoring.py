@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loadcast.models import boosted
 from loadcast.operators import joins, quality, registry
 from loadcast.operators.reshape import union_all
+from loadcast.session import materialise
 from loadcast.store.tables import Ledger
 
 
@@ -37,7 +38,8 @@ def prediction_table(
 ) -> DataFrame:
     """Predictions with forecast and features; per region only the open last row has NULLs."""
     scored = score(features, models)
-    assembled = joins.assemble_predictions(scored, forecast, features)
+    # Written once: finding the last rows must not run the models a second time.
+    assembled = materialise(joins.assemble_predictions(scored, forecast, features), "scored")
     return quality.drop_incomplete_keep_last(assembled, "region", "timestamp_ms")
 
 

@@ -13,7 +13,7 @@ from loadcast.operators import evaluate
 from loadcast.operators.reshape import union_all
 from loadcast.operators.series import Series
 from loadcast.operators.splits import split_counts
-from loadcast.session import scratch_path
+from loadcast.session import materialise, scratch_path
 from loadcast.store.tables import Ledger
 
 
@@ -76,24 +76,31 @@ def register_better(
 ) -> list[str]:
     """Save every model, log its errors, register those that beat the baseline on test rows."""
     tuned = options.search_trials > 0
-    errors = errors.persist()
-    winners = {
+    errors = materialise(errors, "errors")
+    # One row per requested region.
+    winners = sorted(
         row["region"]
         for row in evaluate.registration_gate(errors.filter("split = 'test'")).collect()
-    }
+    )
+    name = {r: f"{r}_gbt_model_{'tuned' if tuned else 'no_tuning'}" for r in models}
+    path = {r: f"{ledger.root}/artefacts/{name[r]}/{version}" for r in models}
     for region, model in models.items():
-        name = f"{region}_gbt_model_{'tuned' if tuned else 'no_tuning'}"
-        path = f"{ledger.root}/artefacts/{name}/{version}"
-        model.write().overwrite().save(path)
-        if region in winners:
-            ledger.register(
-                name=name, region=region, is_tuned=tuned, version=version,
-                status=options.status, run_id=run_id, path=path,
-            )
-    for row in errors.collect():
-        ledger.log(run_id, row["region"], {f"mae_{row['model']}_{row['split']}": row["mae"]})
-    errors.unpersist()
-    return sorted(winners)
+        model.write().overwrite().save(path[region])
+    ledger.register(
+        [
+            (name[r], r, tuned, version, options.status, run_id, path[r])
+            for r in winners
+        ]
+    )
+    ledger.log_metrics(
+        errors.select(
+            F.lit(run_id).alias("run_id"),
+            "region",
+            F.concat_ws("_", F.lit("mae"), "model", "split").alias("name"),
+            F.col("mae").cast("string").alias("value"),
+        )
+    )
+    return winners
 
 
 def describe(split: DataFrame) -> DataFrame:

@@ -203,29 +203,37 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def log(self, run_id: str, region: str | None, values: dict) -> None:
-        rows = [(run_id, region, k, str(v)) for k, v in values.items()]
-        frame = self.spark.createDataFrame(
-            rows, "run_id string, region string, name string, value string"
-        )
-        frame.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
-
-    def runs(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/runs")
-
+    RUN_SCHEMA = "run_id string, region string, name string, value string"
     MODEL_SCHEMA = (
         "name string, region string, is_tuned boolean, version string, status string, "
         "run_id string, path string"
     )
 
-    def register(self, **model) -> None:
-        names = [f.split()[0] for f in self.MODEL_SCHEMA.split(", ")]
-        row = tuple(model[n] for n in names)
-        self.spark.createDataFrame([row], self.MODEL_SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/models")
+    def log_parameters(self, run_id: str, values: dict) -> None:
+        rows = [(run_id, None, k, str(v)) for k, v in values.items()]
+        self._append(self.spark.createDataFrame(rows, self.RUN_SCHEMA), "runs")
+
+    def log_metrics(self, metrics: DataFrame) -> None:
+        """(run_id, region, name, value) rows, one per metric."""
+        self._append(metrics, "runs")
+
+    def register(self, models: list[tuple]) -> None:
+        """Rows of ``MODEL_SCHEMA``, one per registered region."""
+        if models:
+            self._append(self.spark.createDataFrame(models, self.MODEL_SCHEMA), "models")
+
+    def _append(self, rows: DataFrame, name: str) -> None:
+        # Bookkeeping: a handful of rows per run, so one file.
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def runs(self) -> DataFrame:
+        return self._read("runs", self.RUN_SCHEMA)
 
     def models(self) -> DataFrame:
-        if not path_exists(self.spark, f"{self.root}/models"):
-            return self.spark.createDataFrame([], self.MODEL_SCHEMA)
-        return self.spark.read.schema(self.MODEL_SCHEMA).parquet(f"{self.root}/models")
+        return self._read("models", self.MODEL_SCHEMA)
