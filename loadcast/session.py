@@ -68,6 +68,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    files, target = _file_system(spark, pattern)
+    return len(files.globStatus(target) or []) > 0

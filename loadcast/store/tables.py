@@ -12,7 +12,7 @@ from loadcast.functions.time import DAY_MS, utc_date
 from loadcast.operators import joins
 from loadcast.operators.ranges import TimeRange
 from loadcast.operators.series import Series
-from loadcast.session import path_exists
+from loadcast.session import any_match, path_exists
 
 # Up to this many dates a partition filter lists them; beyond it a date range prunes.
 LISTED_DATES = 1000
@@ -84,7 +84,8 @@ class FeatureTable:
         return list(dict.fromkeys([*self.meta.primary_key, self.meta.event_time]))
 
     def exists(self) -> bool:
-        return path_exists(self.spark, f"{self.path}/_SUCCESS")
+        """Whether any date is published (a dynamic overwrite leaves no success marker)."""
+        return any_match(self.spark, f"{self.path}/event_date=*")
 
     def _dated(self, spark: SparkSession | None = None) -> DataFrame:
         return (spark or self.spark).read.parquet(self.path)
