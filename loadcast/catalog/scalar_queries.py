@@ -33,10 +33,9 @@ HOLIDAYS = """fixed AS (
     FROM calendar""",
 )
 def holiday_flag(spark, sf_dir):
-    day = time.utc_date("timestamp_ms")
-    return i.calendar(spark, sf_dir).select(
-        "o_orderkey", day.cast("string").alias("day"), time.is_us_holiday(day).alias("is_holiday")
-    )
+    orders = i.calendar(spark, sf_dir).withColumn("day", time.utc_date("timestamp_ms"))
+    flagged = time.with_holiday(orders, "day")
+    return flagged.select("o_orderkey", F.col("day").cast("string").alias("day"), "is_holiday")
 
 
 @query(
@@ -112,13 +111,8 @@ def category_number_sql(category: str) -> str:
     FROM (SELECT o_orderkey, {CATEGORY_SQL} AS c FROM calendar)""",
 )
 def hour_category(spark, sf_dir):
-    ms = "timestamp_ms"
-    category = time.hour_category(time.utc_hour(ms), time.utc_weekday(ms))
-    return i.calendar(spark, sf_dir).select(
-        "o_orderkey",
-        category.alias("hour_category"),
-        time.category_number(category).alias("hour_category_num"),
-    )
+    rows = time.with_calendar(i.calendar(spark, sf_dir))
+    return rows.select("o_orderkey", "hour_category", "hour_category_num")
 
 
 CYCLIC_SQL = {
@@ -138,10 +132,7 @@ CYCLIC_SQL = {
     + " FROM calendar",
 )
 def cyclical_features(spark, sf_dir):
-    columns = time.calendar_columns("timestamp_ms")
-    return i.calendar(spark, sf_dir).select(
-        "o_orderkey", *[columns[name].alias(name) for name in CYCLIC_SQL]
-    )
+    return time.with_calendar(i.calendar(spark, sf_dir)).select("o_orderkey", *CYCLIC_SQL)
 
 
 PART_SQL = """CASE WHEN h < 6 THEN 'Night' WHEN h < 12 THEN 'Morning'

@@ -6,7 +6,7 @@ session time zone and stay in generated code on batch and streaming frames alike
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
@@ -71,20 +71,6 @@ def is_weekend(weekday: Column) -> Column:
     return (weekday >= 5).cast("int")
 
 
-def hour_category(hour: Column, weekday: Column) -> Column:
-    evening = hour.between(18, 22)
-    office = hour.between(9, 17) & (weekday < 5)
-    return (
-        F.when(evening, "evening_peak").when(office, "office_hours").otherwise("off_peak")
-    )
-
-
-def category_number(category: Column) -> Column:
-    return (
-        F.when(category == "office_hours", 1).when(category == "evening_peak", 2).otherwise(0)
-    )
-
-
 def part_of_day(hour: Column) -> Column:
     return (
         F.when(hour < 6, "Night")
@@ -94,90 +80,82 @@ def part_of_day(hour: Column) -> Column:
     )
 
 
-def cyclic(value: Column, period: int) -> tuple[Column, Column]:
-    angle = F.lit(2.0) * F.pi() * value / F.lit(float(period))
-    return F.sin(angle), F.cos(angle)
-
-
 def local_time(ms: Column | str, zone: Column | str) -> Column:
     """Wall clock of ``zone`` without an offset; daylight saving follows the zone rules."""
     return F.from_utc_timestamp(event_time(ms), _col(zone)).cast("timestamp_ntz")
 
 
-# --- public holidays -------------------------------------------------------------------
-
-
-def _nth_weekday(day: Column, weekday: Column, wanted: int, nth: int) -> Column:
-    return (weekday == wanted) & day.between(7 * nth - 6, 7 * nth)
-
-
-def is_us_holiday(date: Column) -> Column:
-    """0/1 flag of US public holidays, observed days included.
-
-    The calendar is a rule over year, month, day and weekday, so no holiday table has to be
-    built, bounded or joined.
-    """
-    year, month, day = F.year(date), F.month(date), F.dayofmonth(date)
-    weekday = F.weekday(date)
-
-    def on(m: int, d: int) -> Column:
-        """The fixed date itself, its Friday before (Saturday) or Monday after (Sunday)."""
-        hit = (month == m) & (day == d)
-        after = F.date_add(date, 1)
-        before = F.date_sub(date, 1)
-        friday = (weekday == 4) & (F.month(after) == m) & (F.dayofmonth(after) == d)
-        monday = (weekday == 0) & (F.month(before) == m) & (F.dayofmonth(before) == d)
-        return hit | friday | monday
-
-    # First year of each rule (fixed values).
-    new_year = on(1, 1) & (F.year(F.date_add(date, 1)) >= 1871)
-    king = (year >= 1986) & (month == 1) & _nth_weekday(day, weekday, 0, 3)
-    washington = F.when(
-        year >= 1971, (month == 2) & _nth_weekday(day, weekday, 0, 3)
-    ).otherwise((year >= 1879) & (month == 2) & (day == 22))
-    memorial = F.when(year >= 1971, (month == 5) & (weekday == 0) & (day >= 25)).otherwise(
-        (year >= 1888) & (month == 5) & (day == 30)
-    )
-    juneteenth = (year >= 2021) & on(6, 19)
-    independence = (year >= 1871) & on(7, 4)
-    labor = (year >= 1894) & (month == 9) & _nth_weekday(day, weekday, 0, 1)
-    columbus = F.when(
-        year >= 1970, (month == 10) & _nth_weekday(day, weekday, 0, 2)
-    ).otherwise((year >= 1937) & (month == 10) & (day == 12))
-    veterans = F.when(
-        year.between(1971, 1977), (month == 10) & _nth_weekday(day, weekday, 0, 4)
-    ).otherwise((year >= 1938) & on(11, 11))
-    thanksgiving = (year >= 1871) & (month == 11) & _nth_weekday(day, weekday, 3, 4)
-    christmas = (year >= 1871) & on(12, 25)
-
-    rules = [
-        new_year, king, washington, memorial, juneteenth, independence, labor, columbus,
-        veterans, thanksgiving, christmas,
-    ]
-    flag = rules[0]
-    for rule in rules[1:]:
-        flag = flag | rule
-    return flag.cast("int")
-
-
-def calendar_columns(ms: Column | str) -> dict[str, Column]:
-    """The nine calendar features of one event time."""
-    hour, weekday, month = utc_hour(ms), utc_weekday(ms), utc_month(ms)
-    category = hour_category(hour, weekday)
-    hour_sin, hour_cos = cyclic(hour, 24)
-    dow_sin, dow_cos = cyclic(weekday, 7)
-    month_sin, month_cos = cyclic(month, 12)
-    return {
-        "hour_category": category,
-        "hour_category_num": category_number(category),
-        "is_holiday": is_us_holiday(utc_date(ms)),
-        "hour_sin": hour_sin,
-        "hour_cos": hour_cos,
-        "day_of_week_sin": dow_sin,
-        "day_of_week_cos": dow_cos,
-        "month_sin": month_sin,
-        "month_cos": month_cos,
-    }
+# --- calendar features -----------------------------------------------------------------
+
+# US public holidays as a rule over month, day and weekday (Monday is 0), so no holiday table
+# has to be built, bounded or joined.  First years and dates are fixed values.
+#
+# Dates that move to Friday or Monday when they fall on a weekend, as month * 100 + day.
+_MOVABLE = """(
+  ({md} IN (101, 704, 1225) AND {year} >= 1871)
+  OR ({md} = 1111 AND {year} >= 1938 AND {year} NOT BETWEEN 1971 AND 1977)
+  OR ({md} = 619 AND {year} >= 2021))"""
+
+_HOLIDAY = f"""cast(
+  {_MOVABLE.format(md="_md", year="_year")}
+  OR (_weekday = 4 AND {_MOVABLE.format(md="_md_after", year="_year_after")})
+  OR (_weekday = 0 AND {_MOVABLE.format(md="_md_before", year="_year")})
+  OR (_weekday = 0 AND (
+       (_md BETWEEN 115 AND 121 AND _year >= 1986)
+    OR (_md BETWEEN 215 AND 221 AND _year >= 1971)
+    OR (_md BETWEEN 525 AND 531 AND _year >= 1971)
+    OR (_md BETWEEN 901 AND 907 AND _year >= 1894)
+    OR (_md BETWEEN 1008 AND 1014 AND _year >= 1970)
+    OR (_md BETWEEN 1022 AND 1028 AND _year BETWEEN 1971 AND 1977)))
+  OR (_weekday = 3 AND _md BETWEEN 1122 AND 1128 AND _year >= 1871)
+  OR (_md = 222 AND _year BETWEEN 1879 AND 1970)
+  OR (_md = 530 AND _year BETWEEN 1888 AND 1970)
+  OR (_md = 1012 AND _year BETWEEN 1937 AND 1969) AS int)"""
+
+# Three short projections.  Each one uses columns of the one before more than once, so the
+# optimizer keeps them apart and no date is taken to pieces twice.
+_DATE_PARTS = {
+    "_year": "year(_date)",
+    "_month": "month(_date)",
+    "_md": "month(_date) * 100 + day(_date)",
+    "_weekday": "weekday(_date)",
+    "_year_after": "year(date_add(_date, 1))",
+    "_md_after": "month(date_add(_date, 1)) * 100 + day(date_add(_date, 1))",
+    "_md_before": "month(date_add(_date, -1)) * 100 + day(date_add(_date, -1))",
+}
+
+_CATEGORY = """CASE WHEN _hour BETWEEN 18 AND 22 THEN 'evening_peak'
+  WHEN _hour BETWEEN 9 AND 17 AND _weekday < 5 THEN 'office_hours' ELSE 'off_peak' END"""
+_NUMBER = """CASE hour_category WHEN 'office_hours' THEN 1 WHEN 'evening_peak' THEN 2
+  ELSE 0 END"""
+_CALENDAR = {
+    "hour_category": _CATEGORY,
+    "hour_category_num": _NUMBER,
+    "is_holiday": _HOLIDAY,
+    "hour_sin": "sin(2 * pi() * _hour / 24)",
+    "hour_cos": "cos(2 * pi() * _hour / 24)",
+    "day_of_week_sin": "sin(2 * pi() * _weekday / 7)",
+    "day_of_week_cos": "cos(2 * pi() * _weekday / 7)",
+    "month_sin": "sin(2 * pi() * _month / 12)",
+    "month_cos": "cos(2 * pi() * _month / 12)",
+}
+
+
+def _with_date_parts(df: DataFrame) -> DataFrame:
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in _DATE_PARTS.items()])
+
+
+def with_holiday(df: DataFrame, date: Column | str, name: str = "is_holiday") -> DataFrame:
+    """Add the 0/1 flag of US public holidays, observed days included."""
+    parts = _with_date_parts(df.withColumn("_date", _col(date)))
+    return parts.selectExpr("*", f"{_HOLIDAY} AS {name}").drop("_date", *_DATE_PARTS)
+
+
+def with_calendar(df: DataFrame, ms: str = "timestamp_ms") -> DataFrame:
+    """Add the nine calendar features of an event time; works on batch and streaming frames."""
+    parts = _with_date_parts(df.withColumns({"_date": utc_date(ms), "_hour": utc_hour(ms)}))
+    out = parts.selectExpr("*", *[f"{sql} AS {name}" for name, sql in _CALENDAR.items()])
+    return out.drop("_date", "_hour", *_DATE_PARTS)
 
 
 def local_columns(ms: Column | str, zone: Column | str) -> dict[str, Column]:

@@ -49,9 +49,9 @@ def merge_metrics(long: DataFrame, seq: str) -> DataFrame:
     ]
     return (
         known_types(long)
-        .groupBy("timestamp_ms", "region")
-        .agg(F.min("human_read_period").alias("human_read_period"), *metrics)
-        .select("timestamp_ms", "human_read_period", "region", *METRICS.values())
+        # The period text belongs to the hour; as a key it keeps the aggregate hash-based.
+        .groupBy("timestamp_ms", "human_read_period", "region")
+        .agg(*metrics)
     )
 
 

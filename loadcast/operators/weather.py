@@ -27,9 +27,7 @@ def region_mean(
     too.  Partial sums combine before the shuffle.
     """
     means = [_mean(m, skip_nulls) for m in measures]
-    return cities.groupBy("region", "timestamp_ms").agg(
-        F.min("human_read_period").alias("human_read_period"), *means
-    )
+    return cities.groupBy("region", "timestamp_ms", "human_read_period").agg(*means)
 
 
 def regional_history(cities: DataFrame, end_ms: Column) -> DataFrame:

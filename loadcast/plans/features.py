@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.functions.time import calendar_columns
+from loadcast.functions.time import with_calendar
 from loadcast.operators import joins, quality, reshape, rolling, splits
 from loadcast.operators.series import Series
 from loadcast.session import materialise
@@ -17,8 +17,7 @@ def demand_features(demand: DataFrame, s: Series, target: bool = False) -> DataF
     The calendar is a projection of the event time, so it is computed after the window pass
     and never shuffled.
     """
-    rows = rolling.add_rolling(demand, s, target=target)
-    return rows.withColumns(calendar_columns(s.ts))
+    return with_calendar(rolling.add_rolling(demand, s, target=target), s.ts)
 
 
 def assemble_features(demand: DataFrame, weather: DataFrame, s: Series, target: bool = False):

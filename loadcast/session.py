@@ -81,3 +81,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def any_match(spark: SparkSession, pattern: str) -> bool:
     files, target = _file_system(spark, pattern)
     return len(files.globStatus(target) or []) > 0
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small marker file, written under another name first so that it appears whole."""
+    files, target = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(target, False)
+    files.rename(draft, target)

@@ -12,16 +12,14 @@ from loadcast.functions.time import DAY_MS, utc_date
 from loadcast.operators import joins
 from loadcast.operators.ranges import TimeRange
 from loadcast.operators.series import Series
-from loadcast.session import any_match, path_exists
+from loadcast.session import any_match, path_exists, write_text
 
 # Up to this many dates a partition filter lists them; beyond it a date range prunes.
 LISTED_DATES = 1000
 
 
 def _save_json(spark: SparkSession, path: str, record: dict) -> None:
-    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(path)
+    write_text(spark, path, json.dumps(record))
 
 
 def _load_json(spark: SparkSession, path: str) -> dict:
@@ -77,7 +75,7 @@ class FeatureTable:
 
     @property
     def _meta_path(self) -> str:
-        return f"{self.base}/_meta"
+        return f"{self.base}/meta.json"
 
     @property
     def keys(self) -> list[str]:
@@ -105,7 +103,7 @@ class FeatureTable:
     def upsert(self, batch: DataFrame, batch_id: str, order_by: list[str] | None = None) -> None:
         """Insert or replace rows by key; of equal keys in the batch the highest order wins."""
         spark = batch.sparkSession
-        done, stage = f"{self.base}/_done/{batch_id}", f"{self.base}/_stage/{batch_id}"
+        done, stage = f"{self.base}/done/{batch_id}", f"{self.base}/stage/{batch_id}"
         if path_exists(spark, done):
             return
         if not path_exists(spark, f"{stage}/_SUCCESS"):
@@ -168,7 +166,7 @@ class FeatureStore:
 
     @property
     def _views(self) -> str:
-        return f"{self.root}/_views"
+        return f"{self.root}/views"
 
     def list_views(self, name: str | None = None) -> DataFrame:
         schema = (

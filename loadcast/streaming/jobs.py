@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loadcast.functions.time import calendar_columns
+from loadcast.functions.time import with_calendar
 from loadcast.operators.reshape import known_types, typed_records
 from loadcast.schemas import DEMAND_RECORD, with_rolling
 from loadcast.session import JOB_CONF
@@ -28,7 +28,7 @@ def feature_stream(messages: DataFrame) -> DataFrame:
         outputMode="Append",
         timeMode="None",
     )
-    return rolled.withColumns(calendar_columns("timestamp_ms"))
+    return with_calendar(rolled)
 
 
 def live_readings(payloads: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ def _ms(*parts):
 
 def _flags(spark, first, last):
     days = spark.sql(f"SELECT explode(sequence(date'{first}', date'{last}')) AS d")
-    rows = days.filter(time.is_us_holiday(F.col("d")) == 1).collect()
+    rows = time.with_holiday(days, "d").filter("is_holiday = 1").orderBy("d").collect()
     return [r["d"].isoformat() for r in rows]
 
 
@@ -54,9 +54,7 @@ def test_holiday_rules(spark, first, last, days):
 def test_hour_category(spark, hour, friday, saturday):
     rows = [(_ms(2024, 3, 1, hour),), (_ms(2024, 3, 2, hour),)]
     df = spark.createDataFrame(rows, "timestamp_ms long")
-    got = df.orderBy("timestamp_ms").select("*", *[
-        c.alias(n) for n, c in time.calendar_columns("timestamp_ms").items()
-    ]).collect()
+    got = time.with_calendar(df).orderBy("timestamp_ms").collect()
     assert [r["hour_category"] for r in got] == [friday, saturday]
     numbers_of = {"off_peak": 0, "office_hours": 1, "evening_peak": 2}
     assert [r["hour_category_num"] for r in got] == [numbers_of[friday], numbers_of[saturday]]
@@ -64,9 +62,10 @@ def test_hour_category(spark, hour, friday, saturday):
 
 def test_cycles_lie_on_the_unit_circle(spark):
     df = spark.range(0, 24 * 400).select((F.col("id") * HOUR + START).alias("timestamp_ms"))
-    c = time.calendar_columns("timestamp_ms")
+    df = time.with_calendar(df)
     for name in ("hour", "day_of_week", "month"):
-        off = F.abs(c[f"{name}_sin"] * c[f"{name}_sin"] + c[f"{name}_cos"] * c[f"{name}_cos"] - 1)
+        sin, cos = F.col(f"{name}_sin"), F.col(f"{name}_cos")
+        off = F.abs(sin * sin + cos * cos - 1)
         assert df.select(F.max(off)).first()[0] < 1e-12
 
 

@@ -51,10 +51,10 @@ def test_a_done_batch_is_skipped_and_a_finished_stage_is_reused(spark, folder):
     assert _content(table) == {("a", START): 1}
 
     # A crash after staging: the replay publishes the stage, not a second computation.
-    table._stage(spark, demand_frame(spark, [("a", START, 2)]), f"{table.base}/_stage/1", [])
+    table._stage(spark, demand_frame(spark, [("a", START, 2)]), f"{table.base}/stage/1", [])
     table.upsert(demand_frame(spark, [("a", START, 77)]), "1")
     assert _content(table) == {("a", START): 2}
-    assert path_exists(spark, f"{table.base}/_done/1")
+    assert path_exists(spark, f"{table.base}/done/1")
 
 
 def test_order_column_decides_inside_a_batch(spark, folder):

@@ -5,8 +5,7 @@ import json
 import numpy as np
 import pytest
 
-from loadcast.functions.time import calendar_columns
-from loadcast.schemas import DEMAND_PAYLOAD, DEMAND_RECORD, ROLLING_COLUMNS
+from loadcast.schemas import CALENDAR_COLUMNS, DEMAND_PAYLOAD, DEMAND_RECORD, ROLLING_COLUMNS
 from loadcast.sources import topics
 from loadcast.store.tables import FeatureTable
 from loadcast.streaming import jobs
@@ -44,7 +43,7 @@ def test_restarts_give_the_batch_features(spark, folder):
         query.awaitTermination()
         assert sum(p["rows"] for p in jobs.progress(query)) == len(part) + len(extra)
     stored = table.read()
-    assert set(calendar_columns("timestamp_ms")) <= set(stored.columns)
+    assert set(CALENDAR_COLUMNS) <= set(stored.columns)
     got = stored.filter("demand IS NOT NULL").collect()
     assert_features(got, expected_rolling(rows), ROLLING_COLUMNS)
     empty = stored.filter("demand IS NULL").collect()
