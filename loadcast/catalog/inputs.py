@@ -14,6 +14,7 @@ from loadcast import dims
 from loadcast.functions.time import HOUR_MS, floor_ms, format_period
 from loadcast.operators import evaluate, joins, quality, reshape, rolling, weather
 from loadcast.operators.series import Series
+from loadcast.session import materialise
 
 SERIES = Series()
 
@@ -123,6 +124,14 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.merge_metrics(typed(spark, sf_dir), "seq")
 
 
+def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged rows as a table, for operators that read their input more than once.
+
+    They are small next to the raw rows, which are then read and parsed only once.
+    """
+    return materialise(merged(spark, sf_dir), "merged")
+
+
 def city_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per city and hour with missing values where a reading is out of range."""
     k, value = _k().cast("double"), F.col("value")

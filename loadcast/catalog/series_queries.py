@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadcast.catalog import inputs as i
@@ -28,6 +27,7 @@ from loadcast.operators import (
 )
 from loadcast.plans import features
 from loadcast.schemas import ROLLING_COLUMNS, WEATHER_MEASURES
+from loadcast.session import materialise
 
 S = i.SERIES
 MEANS = [c for c in ROLLING_COLUMNS if c.startswith("mean")]
@@ -221,18 +221,19 @@ def registry_pick(spark, sf_dir):
 @query(
     "semver_sort",
     "WITH " + i.REGISTRY + """
-    SELECT region, name, version, status,
-           row_number() OVER (PARTITION BY region, name ORDER BY parts DESC) AS place
-    FROM ranked""",
+    SELECT region, name, version, status, CAST(parts[1] AS INTEGER) AS major,
+           CAST(parts[2] AS INTEGER) AS minor, CAST(parts[3] AS INTEGER) AS patch
+    FROM ranked ORDER BY region, name, parts DESC""",
 )
 def semver_sort(spark, sf_dir):
-    """Semantic order within a model's versions (a registry entry, not a data series)."""
-    w = Window.partitionBy("region", "name").orderBy(version_key(F.col("version")).desc())
-    versions = i.registry_versions(spark, sf_dir)
-    return versions.select(
-        "region", "name", "version", "status",
-        F.row_number().over(w).cast("bigint").alias("place"),
-    )
+    """Semantic order of versions: a range-partitioned sort, whatever a model's share."""
+    versions = i.registry_versions(spark, sf_dir).withColumn("key", version_key(F.col("version")))
+    release = [
+        F.element_at("key.release", n).alias(part)
+        for n, part in enumerate(("major", "minor", "patch"), 1)
+    ]
+    ordered = versions.orderBy("region", "name", F.desc("key"))
+    return ordered.select("region", "name", "version", "status", *release)
 
 
 # --- joins -----------------------------------------------------------------------------
@@ -570,7 +571,8 @@ def mutual_information(spark, sf_dir):
     """Feature ranking; the latest row of a region is still open and left out."""
     rows = i.rolled(spark, sf_dir).select("region", "timestamp_ms", "demand", *MI_FEATURES)
     newest = rows.groupBy("region").agg(F.max("timestamp_ms").alias("newest"))
-    closed = rows.join(newest, "region").filter("timestamp_ms < newest")
+    # The ranking reads its input twice (bin bounds, then counts); the windows run once.
+    closed = materialise(rows.join(newest, "region").filter("timestamp_ms < newest"), "closed")
     scores = evaluate.mutual_information(closed, "region", MI_FEATURES, "demand")
     return scores.orderBy("region", F.desc("importance"))
 

@@ -309,7 +309,7 @@ def dropna_subset(spark, sf_dir):
                      AND ng IS NOT NULL)""",
 )
 def dropna_keep_last(spark, sf_dir):
-    return quality.drop_incomplete_keep_last(i.merged(spark, sf_dir), "region", "timestamp_ms")
+    return quality.drop_incomplete_keep_last(i.merged_table(spark, sf_dir), "region", "timestamp_ms")
 
 
 @query(
@@ -324,7 +324,7 @@ def dropna_keep_last(spark, sf_dir):
     WHERE CASE WHEN open_end THEN rn <= last_rn + 1 ELSE demand IS NOT NULL END""",
 )
 def trim_last_valid(spark, sf_dir):
-    return quality.trim_after_last_actual(i.merged(spark, sf_dir), i.SERIES)
+    return quality.trim_after_last_actual(i.merged_table(spark, sf_dir), i.SERIES)
 
 
 @query(
@@ -340,7 +340,7 @@ def trim_last_valid(spark, sf_dir):
     FROM merged m JOIN cuts c ON m.region = c.region WHERE timestamp_ms <= cut""",
 )
 def complete_day_trim(spark, sf_dir):
-    return quality.complete_day_trim(i.merged(spark, sf_dir), "region", "timestamp_ms", 60)
+    return quality.complete_day_trim(i.merged_table(spark, sf_dir), "region", "timestamp_ms", 60)
 
 
 @query(

@@ -8,37 +8,62 @@ from pyspark.sql import functions as F
 from loadcast.operators.series import Series, blocked
 from loadcast.schemas import LAGS, ROLLING_COLUMNS, ROLLING_WINDOWS
 
+LONGEST = max(ROLLING_WINDOWS)
 
-def mean_columns(value: str, w: WindowSpec, windows=ROLLING_WINDOWS) -> dict[str, Column]:
+
+def _frame(w: WindowSpec, n: int) -> WindowSpec:
+    return w.rowsBetween(-(n - 1), 0)
+
+
+def _averages(value: str, w: WindowSpec) -> dict[str, Column]:
+    return {f"_avg_{n}": F.avg(value).over(_frame(w, n)) for n in ROLLING_WINDOWS}
+
+
+def _means(seen: Column) -> dict[str, Column]:
     """Mean of the last n rows, NULL until n rows exist."""
-    return {f"mean_{n}": _full(F.avg(value), value, w, n) for n in windows}
+    return {f"mean_{n}": F.when(seen >= n, F.col(f"_avg_{n}")) for n in ROLLING_WINDOWS}
 
 
-def median_columns(value: str, w: WindowSpec, windows=ROLLING_WINDOWS) -> dict[str, Column]:
-    return {f"median_{n}": _full(F.percentile(value, 0.5), value, w, n) for n in windows}
+def _medians(frame: Column) -> dict[str, Column]:
+    """Medians of all windows from one list of the latest rows.
+
+    A sliding percentile builds a count map per row and window; one list per row, sorted, is
+    several times cheaper.
+    """
+    out = {}
+    for n in ROLLING_WINDOWS:
+        ordered = F.sort_array(frame if n == LONGEST else F.slice(frame, -n, n))
+        low, high = ordered[(n - 1) // 2], ordered[n // 2]
+        middle = (low.cast("double") + high.cast("double")) / 2
+        out[f"median_{n}"] = F.when(F.size(frame) >= n, middle)
+    return out
 
 
-def _full(statistic: Column, value: str, w: WindowSpec, n: int) -> Column:
-    frame = w.rowsBetween(-(n - 1), 0)
-    return F.when(F.count(value).over(frame) >= n, statistic.over(frame).cast("double"))
+def _lags(value: str, w: WindowSpec) -> dict[str, Column]:
+    return {f"lag_{n}h": F.lag(value, n).over(w).cast("double") for n in LAGS}
 
 
-def lag_columns(value: str, w: WindowSpec, lags=LAGS) -> dict[str, Column]:
-    return {f"lag_{n}h": F.lag(value, n).over(w).cast("double") for n in lags}
+def _latest(value: str, w: WindowSpec) -> dict[str, Column]:
+    return {"_latest": F.collect_list(value).over(_frame(w, LONGEST))}
 
 
 def add_means(df: DataFrame, s: Series, value: str = "demand") -> DataFrame:
-    back = max(ROLLING_WINDOWS)
-    return blocked(_present(df, value), s, lambda w: mean_columns(value, w), back=back)
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        return {**_averages(value, w), "_seen": F.count(value).over(_frame(w, LONGEST))}
+
+    means = _means(F.col("_seen"))
+    return blocked(_present(df, value), s, columns, derived=means, back=LONGEST)
 
 
 def add_medians(df: DataFrame, s: Series, value: str = "demand") -> DataFrame:
-    back = max(ROLLING_WINDOWS)
-    return blocked(_present(df, value), s, lambda w: median_columns(value, w), back=back)
+    medians = _medians(F.col("_latest"))
+    return blocked(
+        _present(df, value), s, lambda w: _latest(value, w), derived=medians, back=LONGEST
+    )
 
 
 def add_lags(df: DataFrame, s: Series, value: str = "demand") -> DataFrame:
-    return blocked(_present(df, value), s, lambda w: lag_columns(value, w), back=max(LAGS))
+    return blocked(_present(df, value), s, lambda w: _lags(value, w), back=max(LAGS))
 
 
 def add_target(df: DataFrame, s: Series, value: str = "demand") -> DataFrame:
@@ -54,12 +79,16 @@ def add_rolling(
     Rows without a value leave the series first, as frames count rows, not hours.
     """
     def columns(w: WindowSpec) -> dict[str, Column]:
-        every = {**mean_columns(value, w), **median_columns(value, w), **lag_columns(value, w)}
-        out = {name: every[name] for name in ROLLING_COLUMNS}
+        out = {**_averages(value, w), **_latest(value, w), **_lags(value, w)}
         return {**out, "target": F.lead(value).over(w)} if target else out
 
-    back = max(*ROLLING_WINDOWS, *LAGS)
-    return blocked(_present(df, value), s, columns, back=back, ahead=target)
+    derived = {**_means(F.size("_latest")), **_medians(F.col("_latest"))}
+    rows = blocked(
+        _present(df, value), s, columns, derived=derived, back=max(LONGEST, *LAGS), ahead=target
+    )
+    last = ["target"] if target else []
+    kept = [c for c in df.columns if c not in (*ROLLING_COLUMNS, "target")]
+    return rows.select(*kept, *ROLLING_COLUMNS, *last)
 
 
 def default_rolling(df: DataFrame) -> DataFrame:

@@ -81,6 +81,7 @@ def blocked(
     s: Series,
     columns: Callable[[WindowSpec], dict[str, Column]],
     *,
+    derived: dict[str, Column] | None = None,
     back: int = 0,
     ahead: bool = False,
     numbered: bool = False,
@@ -88,32 +89,36 @@ def blocked(
     """Add row-frame columns to ``df``, equal to a window over the whole series.
 
     ``columns`` maps an ordered window to columns whose frames reach at most ``back`` rows
-    back, and one row ahead if ``ahead``.  Rows without a key or time belong to no series and
-    are left out.  ``numbered`` adds ``_position`` (0-based place in
-    the series) and ``_total`` (rows of the series).
+    back, and one row ahead if ``ahead``.  ``derived`` are columns computed from those in the
+    same row; window columns whose name starts with ``_`` serve them only and are dropped.
+    Rows without a key or time belong to no series and are left out.  ``numbered`` adds
+    ``_position`` (0-based place in the series) and ``_total`` (rows of the series).
     """
     names = df.columns
-    # Same explicit filter on both branches and no inner join, whose inferred filters would
-    # differ: an expensive input is then shuffled once and its exchange reused.
+    # The join stays an outer one (outer explode, null-safe filter).  An inner join would infer
+    # filters that differ between the branches, so an expensive input could not be shuffled once
+    # and its exchange reused; and it could take the rows as the broadcast side, which leaves
+    # the copying to the few tasks of the index.
     df = df.filter(F.col(s.key).isNotNull() & F.col(s.ts).isNotNull())
     placement = _block_map(chunk_index(df, s), s, back, ahead)
     rows = (
         df.withColumn("_chunk", s.chunk)
         .join(placement, [s.key, "_chunk"], "left")
-        .withColumn("_block", F.explode("_blocks"))
+        .withColumn("_block", F.explode_outer("_blocks"))
+        # Explicit, because rows that happen to be partitioned by the key alone would satisfy
+        # the window as they are, and then one task would hold a whole series.
+        .repartition(s.key, "_block")
     )
     w = Window.partitionBy(s.key, "_block").orderBy(s.ts)
     out = columns(w)
+    added = [c for c in [*out, *(derived or {})] if not c.startswith("_")]
     if numbered:
         # The rows of a block are consecutive, so its first row fixes all positions.
         first = F.first("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))
         out = {**out, "_position": first + F.row_number().over(w) - 1}
-        names = [*names, "_total"]
-    return (
-        rows.withColumns(out)
-        .filter(F.col("_block") == F.col("_own"))
-        .select(*names, *[c for c in out if c not in names])
-    )
+        added += ["_position", "_total"]
+    own = rows.withColumns(out).filter(F.col("_block").eqNullSafe(F.col("_own")))
+    return own.withColumns(derived or {}).select(*names, *added)
 
 
 def carried(
@@ -148,7 +153,8 @@ def carried(
     both = rows.withColumn("_side", F.lit(1)).unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(s.key, "_chunk").orderBy("_side", s.ts, *ties)
     return (
-        both.withColumn(name, before(F.col("_state"), F.col("_side") == 0, w))
+        both.repartition(s.key, "_chunk")  # as in ``blocked``
+        .withColumn(name, before(F.col("_state"), F.col("_side") == 0, w))
         .filter(F.col("_side") == 1)
         .select(*names, name)
     )

@@ -13,15 +13,22 @@ from pyspark.sql.types import StructType
 from loadcast.functions.time import event_time
 from loadcast.schemas import TOPIC_MESSAGE
 
+BATCH_LIMITS = {
+    "kafka": {"maxOffsetsPerTrigger": "2000000"},
+    "files": {"maxFilesPerTrigger": "1000"},
+}
+
 
 def read_topic(
     spark: SparkSession, options: dict[str, str], kind: str = "kafka", streaming: bool = True
 ) -> DataFrame:
     """(key, value) text messages from the earliest offset.
 
-    ``options``: for kafka the connector options; for files ``path`` and optional limits such
-    as ``maxFilesPerTrigger``.
+    ``options``: for kafka the connector options; for files ``path`` and the reader options.
+    A limit per micro-batch is always set, as keyed state handles one batch of a key at once.
     """
+    if streaming:
+        options = {**BATCH_LIMITS.get(kind, {}), **options}
     reader = spark.readStream if streaming else spark.read
     if kind == "kafka":
         settings = {"startingOffsets": "earliest", **options}

@@ -136,7 +136,7 @@ class FeatureTable:
             rows = rows.unionByName(stored.withColumn("_new", F.lit(0)), allowMissingColumns=True)
         rest = [c for c in incoming.columns if c not in self.keys]
         # Without an order column the row itself decides, so that a replay gives the same.
-        rank = F.struct("_new", *order_by, *[F.to_json(F.struct(*rest))])
+        rank = F.struct("_new", *order_by, F.xxhash64(*rest))
         latest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
         latest.select(*self.keys, "_row.*").select(*incoming.columns).write.mode(
             "overwrite"
@@ -189,7 +189,10 @@ class FeatureStore:
         """Lazy; the range prunes the left table, the right side keeps its past for the join."""
         left = self.table(meta.left, meta.left_version)
         right = self.table(meta.right, meta.right_version)
-        past = None if window is None else TimeRange(0, window.end_ms)
+        past = None
+        if window is not None:
+            reach = window.start_ms if meta.tolerance_ms is None else meta.tolerance_ms
+            past = TimeRange(window.start_ms - reach, window.end_ms)
         series = Series(left.meta.primary_key[0], left.meta.event_time)
         return joins.asof_join(
             left.read(window), right.read(past), series, meta.prefix, meta.tolerance_ms
