@@ -1,0 +1,44 @@
+"""Arguments shared by the spark-submit jobs."""
+
+from __future__ import annotations
+
+import argparse
+import time
+
+from loadcast import dims
+from loadcast.operators.quality import require_valid
+
+
+def parser(description: str) -> argparse.ArgumentParser:
+    out = argparse.ArgumentParser(description=description)
+    out.add_argument("--run-id", required=True, help="suffix of topics, checkpoints and batches")
+    out.add_argument("--mode", choices=["live", "historical"], default="historical")
+    out.add_argument("--regions", default=",".join(dims.REGION_CITIES))
+    out.add_argument("--as-of-ms", type=int, default=int(time.time() * 1000))
+    return out
+
+
+def regions(args) -> list[str]:
+    return require_valid([r.strip() for r in args.regions.split(",")], dims.VALID_REGIONS)
+
+
+def add_topic(p: argparse.ArgumentParser, name: str) -> None:
+    p.add_argument(f"--{name}", required=True, help="topic name, or a folder for files")
+    if not any(a.dest == "brokers" for a in p._actions):
+        p.add_argument("--brokers", help="kafka brokers; without them topics are folders")
+
+
+def topic_kind(args) -> str:
+    return "kafka" if args.brokers else "files"
+
+
+def source_options(args, name: str) -> dict[str, str]:
+    if args.brokers:
+        return {"kafka.bootstrap.servers": args.brokers, "subscribe": f"{name}_{args.run_id}"}
+    return {"path": f"{name}_{args.run_id}"}
+
+
+def sink_options(args, name: str) -> dict[str, str]:
+    if args.brokers:
+        return {"kafka.bootstrap.servers": args.brokers, "topic": f"{name}_{args.run_id}"}
+    return {"path": f"{name}_{args.run_id}"}
