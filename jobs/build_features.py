@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from jobs import common
-from loadcast.session import build_session
+from loadcast.session import build_session, stream_session
 from loadcast.sources import topics
 from loadcast.streaming import jobs
 
@@ -14,7 +14,7 @@ def main() -> None:
     common.add_topic(p, "source")
     common.add_topic(p, "target")
     args = p.parse_args()
-    spark = jobs.use_rocksdb(build_session("build-features"))
+    spark = stream_session(build_session("build-features"), args.state_partitions)
     kind = common.topic_kind(args)
     messages = topics.read_topic(spark, common.source_options(args, args.source), kind)
     stream = jobs.observed(jobs.feature_stream(messages), "features")

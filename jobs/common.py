@@ -15,6 +15,7 @@ def parser(description: str) -> argparse.ArgumentParser:
     out.add_argument("--mode", choices=["live", "historical"], default="historical")
     out.add_argument("--regions", default=",".join(dims.REGION_CITIES))
     out.add_argument("--as-of-ms", type=int, default=int(time.time() * 1000))
+    out.add_argument("--state-partitions", type=int, help="partitions of keyed stream state")
     return out
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from jobs import common
 from loadcast.operators import profiles, quality, ranges, reshape
 from loadcast.schemas import DEMAND_PAYLOAD
-from loadcast.session import build_session, materialise
+from loadcast.session import build_session, materialise, stream_session
 from loadcast.sources import payloads, topics
 from loadcast.streaming import jobs
 
@@ -21,7 +21,7 @@ def main() -> None:
     common.add_topic(p, "topic")
     args = p.parse_args()
     wanted = common.regions(args)
-    spark = jobs.use_rocksdb(build_session("ingest-demand"))
+    spark = stream_session(build_session("ingest-demand"), args.state_partitions)
     out, kind = common.sink_options(args, args.topic), common.topic_kind(args)
 
     if args.mode == "live":

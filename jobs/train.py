@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from jobs import common
 from loadcast.functions.time import DAY_MS
+from loadcast.models import boosted
 from loadcast.operators.ranges import TimeRange
 from loadcast.operators.series import Series
 from loadcast.plans import features, training
@@ -21,6 +22,7 @@ def main() -> None:
     p.add_argument("--weather", default="weather")
     p.add_argument("--days-back", type=int, default=365)
     p.add_argument("--search-trials", type=int, default=0)
+    p.add_argument("--max-iter", type=int, default=boosted.Params.maxIter)
     p.add_argument("--n-splits", type=int, default=4)
     p.add_argument("--status", choices=["Development", "Staging", "Production"], default="Development")
     p.add_argument("--version", default="1.0.0")
@@ -35,7 +37,8 @@ def main() -> None:
         TimeRange(args.as_of_ms - args.days_back * DAY_MS, args.as_of_ms),
     )
     split = materialise(features.training_split(view, series), "split")
-    options = training.TrainingOptions(args.search_trials, args.n_splits, args.status)
+    params = boosted.Params(maxIter=args.max_iter)
+    options = training.TrainingOptions(args.search_trials, args.n_splits, args.status, params)
     ledger.log_parameters(args.run_id, vars(args))
     training.describe(split).show(2 * len(wanted), truncate=False)
     if args.debug_path:

@@ -13,12 +13,13 @@ from loadcast.operators import quality, reshape
 from loadcast.operators.ranges import TimeRange
 from loadcast.plans import features, scoring, training
 from loadcast.schemas import DEMAND_PAYLOAD, DEMAND_RECORD, METRICS, ROLLING_COLUMNS
-from loadcast.session import materialise, scratch_path
+from loadcast.session import materialise, scratch_path, stream_session
 from loadcast.sources import exports, topics
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
 from loadcast.streaming import jobs
 
 S = i.SERIES
+STATE_PARTITIONS = 8
 MIDDLE_MS = 1_705_276_800_000  # 2024-01-15T00:00 UTC
 EVENT_RANGE = TimeRange(MIDDLE_MS - 4 * DAY_MS, MIDDLE_MS + 9 * DAY_MS)
 
@@ -89,7 +90,7 @@ def _write_in_time_order(frame, ts, path, days):
 )
 def stream_features(spark, sf_dir):
     """Topic to keyed state to table, in several micro-batches; equals the batch windows."""
-    spark = jobs.use_rocksdb(spark)
+    spark = stream_session(spark, STATE_PARTITIONS)
     root = scratch_path(spark, "stream")
     _write_in_time_order(i.merged(spark, sf_dir), "timestamp_ms", f"{root}/topic", (-5, 5))
     messages = topics.read_topic(spark, {"path": f"{root}/topic"}, kind="files")
@@ -107,7 +108,7 @@ def stream_features(spark, sf_dir):
 )
 def stream_readings(spark, sf_dir):
     """Polled payloads; the second poll repeats the first one, so it emits nothing."""
-    spark = jobs.use_rocksdb(spark)
+    spark = stream_session(spark, STATE_PARTITIONS)
     root = scratch_path(spark, "poll")
     keys = ["region", "timestamp_ms", "electricity_demand_type"]
     latest = quality.dedupe_latest(reshape.known_types(i.typed(spark, sf_dir)), keys, "seq")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 # Settings every job wants.  The number of shuffle partitions is left to the submitter:
 # AQE coalesces downwards, so a large value is safe on a cluster.
 JOB_CONF = {
@@ -15,10 +17,7 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -36,6 +35,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_scratch(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="loadcast-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage, as named by ``spark.checkpoint.dir``.
 
@@ -47,8 +51,22 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = os.environ.get("LOADCAST_SCRATCH") or tempfile.mkdtemp(prefix="loadcast-")
-    spark.conf.set("spark.checkpoint.dir", own)
+    return _local_scratch(spark.sparkContext.applicationId)
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A sibling session for keyed streams: RocksDB state and its own partition count.
+
+    The count is fixed in the checkpoint for the life of a stream, so it is set here and not
+    taken over from whatever the batch session uses.
+    """
+    own = use_utc(spark.newSession())
+    own.conf.set(STATE_STORE, JOB_CONF[STATE_STORE])
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared and own.conf.get("spark.checkpoint.dir", None) != shared:
+        own.conf.set("spark.checkpoint.dir", shared)
     return own
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from loadcast.schemas import CALENDAR_COLUMNS, DEMAND_PAYLOAD, DEMAND_RECORD, ROLLING_COLUMNS
+from loadcast.session import stream_session
 from loadcast.sources import topics
 from loadcast.store.tables import FeatureTable
 from loadcast.streaming import jobs
@@ -28,7 +29,7 @@ def _records(spark, rows):
 
 def test_restarts_give_the_batch_features(spark, folder):
     """Three runs from one checkpoint; regions interleaved, rows shuffled inside a batch."""
-    spark = jobs.use_rocksdb(spark)
+    spark = stream_session(spark, 4)
     rows = series("a", 260, gap=0.1) + series("b", 90)
     cuts = [START + 60 * HOUR, START + 250 * HOUR, 10**15]
     topic, table = f"{folder}/topic", FeatureTable.get_or_create(spark, folder, "f", 1, "region")
@@ -51,7 +52,7 @@ def test_restarts_give_the_batch_features(spark, folder):
 
 
 def test_a_second_value_for_the_newest_hour_replaces_it(spark, folder):
-    spark = jobs.use_rocksdb(spark)
+    spark = stream_session(spark, 4)
     rows = series("a", 5)
     table = FeatureTable.get_or_create(spark, folder, "f", 1, "region")
     fixed = [*rows[:-1], ("a", rows[-1][1], 10_000)]
@@ -70,7 +71,7 @@ def _poll(folder, n, *records):
 
 
 def test_live_readings_are_sent_when_they_change(spark, folder, tmp_path):
-    spark = jobs.use_rocksdb(spark)
+    spark = stream_session(spark, 4)
     (tmp_path / "payloads").mkdir()
     out = {"path": f"{folder}/topic"}
     polls = [
