@@ -170,6 +170,6 @@ def model_scoring(spark, sf_dir):
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
     training.register_better(errors, models, ledger, "run", "1.0.0", SMALL_MODEL)
     loaded = scoring.load_models(ledger, sorted(i.EVENT_ZONES), "Production")
-    complete = materialise(reshape.drop_for_training(_view(spark, sf_dir)).na.fill(0.0), "view")
+    rows = materialise(reshape.drop_for_training(_view(spark, sf_dir)), "view")
     forecast = i.merged(spark, sf_dir).select("region", "timestamp_ms", "forecast")
-    return scoring.prediction_table(complete, forecast, loaded)
+    return scoring.prediction_table(rows, forecast, loaded)

@@ -72,7 +72,10 @@ def feature_names(df: DataFrame) -> list[str]:
 
 
 def fit(train: DataFrame, params: Params) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=feature_names(train), outputCol="features")
+    # Missing values score as NaN instead of failing; training rows have none.
+    assembler = VectorAssembler(
+        inputCols=feature_names(train), outputCol="features", handleInvalid="keep"
+    )
     learner = GBTRegressor(labelCol="target", featuresCol="features", **params.__dict__)
     return Pipeline(stages=[assembler, learner]).fit(train)
 
