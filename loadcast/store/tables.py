@@ -12,7 +12,7 @@ from loadcast.functions.time import DAY_MS, utc_date
 from loadcast.operators import joins
 from loadcast.operators.ranges import TimeRange
 from loadcast.operators.series import Series
-from loadcast.session import any_match, path_exists, write_text
+from loadcast.session import any_match, materialise, path_exists, write_text
 
 # Up to this many dates a partition filter lists them; beyond it a date range prunes.
 LISTED_DATES = 1000
@@ -122,8 +122,13 @@ class FeatureTable:
 
     def _stage(self, spark: SparkSession, batch: DataFrame, stage: str, order_by: list[str]) -> None:
         incoming = batch.withColumn("event_date", utc_date(self.meta.event_time))
+        merge = self.exists()
+        if merge:
+            # Read twice below: its dates first, then its rows.  Written once, so that neither
+            # a source nor a stateful step runs again, also when executors are lost.
+            incoming = materialise(incoming, "batch")
         rows = incoming.withColumn("_new", F.lit(1))
-        if self.exists():
+        if merge:
             touched = incoming.select("event_date").distinct()
             stored = self._dated(spark)
             dates = [row[0] for row in touched.limit(LISTED_DATES + 1).collect()]
