@@ -65,20 +65,22 @@ HOURLY = """hourly AS (
   FROM events GROUP BY 1, 2)"""
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def events_with_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the number in their properties, taken from the JSON once per row."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return events(spark, sf_dir).withColumn("k", k)
 
 
 def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text rows: period, respondent, type (one unknown), value (some no number), seq."""
-    k = _k()
+    k = F.col("k")
     kind = (
         F.when(k < 30, "D").when(k < 55, "DF").when(k < 75, "TI").when(k < 95, "NG").otherwise("XX")
     )
     text = F.when(
         F.col("value") <= 200, F.round(F.col("value") * 100).cast("bigint").cast("string")
     ).otherwise("n/a")
-    return events(spark, sf_dir).select(
+    return events_with_k(spark, sf_dir).select(
         format_period("ms").alias("period"),
         F.col("event_type").alias("respondent"),
         kind.alias("type"),
@@ -134,22 +136,23 @@ def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def city_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per city and hour with missing values where a reading is out of range."""
-    k, value = _k().cast("double"), F.col("value")
+    # Whole numbers, so that sums are exact in any order of the rows.
+    k, value = F.col("k").cast("double"), F.round(F.col("value") * 100)
     measures = {
         "temperature": value,
-        "apparent_temperature": value - 2,
+        "apparent_temperature": value - 200,
         "dew_point": value * 2,
-        "wind_speed": k / 10,
+        "wind_speed": k + 3,
         "humidity": k,
-        "solar_radiation": F.when(value <= 100, value),
-        "direct_radiation": F.when(k != 0, k * 1.5),
-        "diffuse_radiation": F.when(value >= 1, value * 4),
-        "precipitation": k / 100,
+        "solar_radiation": F.when(value <= 10000, value),
+        "direct_radiation": F.when(k != 0, k * 3),
+        "diffuse_radiation": F.when(value >= 100, value * 4),
+        "precipitation": k * 5,
         "snowfall": F.when(k > 90, 1.0).otherwise(0.0),
-        "surface_pressure": value + 1000,
+        "surface_pressure": value + 100000,
     }
     ms = floor_ms("ms", HOUR_MS)
-    return events(spark, sf_dir).select(
+    return events_with_k(spark, sf_dir).select(
         F.col("event_type").alias("region"),
         F.col("user_id").cast("string").alias("city"),
         ms.alias("timestamp_ms"),
@@ -162,14 +165,15 @@ CITY_WEATHER = """city_weather AS (
   SELECT event_type AS region, CAST(user_id AS VARCHAR) AS city,
          (epoch_ms(ts) // 3600000) * 3600000 AS timestamp_ms,
          strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M') AS human_read_period,
-         value AS temperature, value - 2 AS apparent_temperature, value * 2 AS dew_point,
-         k / 10 AS wind_speed, k AS humidity,
-         CASE WHEN value <= 100 THEN value END AS solar_radiation,
-         CASE WHEN k <> 0 THEN k * 1.5 END AS direct_radiation,
-         CASE WHEN value >= 1 THEN value * 4 END AS diffuse_radiation,
-         k / 100 AS precipitation, CASE WHEN k > 90 THEN 1.0 ELSE 0.0 END AS snowfall,
-         value + 1000 AS surface_pressure
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events))"""
+         v AS temperature, v - 200 AS apparent_temperature, v * 2 AS dew_point,
+         k + 3 AS wind_speed, k AS humidity,
+         CASE WHEN v <= 10000 THEN v END AS solar_radiation,
+         CASE WHEN k <> 0 THEN k * 3 END AS direct_radiation,
+         CASE WHEN v >= 100 THEN v * 4 END AS diffuse_radiation,
+         k * 5 AS precipitation, CASE WHEN k > 90 THEN 1.0 ELSE 0.0 END AS snowfall,
+         v + 100000 AS surface_pressure
+  FROM (SELECT *, round(value * 100) AS v,
+               CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events))"""
 
 
 def regional_weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -239,11 +239,11 @@ def semver_sort(spark, sf_dir):
 # --- joins -----------------------------------------------------------------------------
 
 SPARSE_SQL = i.HOURLY + ", " + i.WEATHER + """, sparse AS (
-      SELECT * FROM weather WHERE temperature > 40)"""
+      SELECT * FROM weather WHERE temperature > 4000)"""
 
 
 def _sparse_weather(spark, sf_dir):
-    return i.regional_weather(spark, sf_dir).filter("temperature > 40")
+    return i.regional_weather(spark, sf_dir).filter("temperature > 4000")
 
 
 @query(
@@ -606,7 +606,7 @@ def feature_assembly(spark, sf_dir):
     "training_set",
     "WITH " + i.ROLLED + ", " + i.WEATHER + """, viewed AS (
       SELECT r.*, w.temperature AS weather_temperature
-      FROM rolled r ASOF LEFT JOIN (SELECT * FROM weather WHERE temperature > 40) w
+      FROM rolled r ASOF LEFT JOIN (SELECT * FROM weather WHERE temperature > 4000) w
         ON r.region = w.region AND r.timestamp_ms >= w.timestamp_ms), complete AS (
       SELECT *, row_number() OVER (PARTITION BY region ORDER BY timestamp_ms) AS rn,
              count(*) OVER (PARTITION BY region) AS n

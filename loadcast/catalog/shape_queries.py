@@ -384,17 +384,17 @@ def status_filter(spark, sf_dir):
     "union_all",
     "WITH " + i.CITY_WEATHER + f"""
     SELECT region, city, timestamp_ms, {rs("temperature", "humidity")}, 'low' AS band
-    FROM city_weather WHERE temperature < 50
+    FROM city_weather WHERE temperature < 5000
     UNION ALL
     SELECT region, city, timestamp_ms, {rs("temperature", "humidity")}, 'high' AS band
-    FROM city_weather WHERE temperature >= 50""",
+    FROM city_weather WHERE temperature >= 5000""",
 )
 def union_all(spark, sf_dir):
     rows = i.city_weather(spark, sf_dir).select(
         "region", "city", "timestamp_ms", "temperature", "humidity"
     )
-    low = rows.filter("temperature < 50").withColumn("band", F.lit("low"))
-    high = rows.filter("temperature >= 50").withColumn("band", F.lit("high"))
+    low = rows.filter("temperature < 5000").withColumn("band", F.lit("low"))
+    high = rows.filter("temperature >= 5000").withColumn("band", F.lit("high"))
     return reshape.union_all([low, high])
 
 
