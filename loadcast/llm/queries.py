@@ -5,8 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loadcast.llm.mixing import MIX_SQL, mixture
 from loadcast.llm.near_dedup import near_duplicates
+from loadcast.llm.pii import personal_data
+from loadcast.llm.quality import quality_rules
+from loadcast.llm.sharding import shards
+from loadcast.llm.substring_dedup import without_repeats
+from loadcast.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,3 +39,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_duplicates(docs, width=3, percent=85, halves=9, rows=2)
+
+
+@query("op2_source_mix", MIX_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixture(table(spark, sf_dir, "documents"))
+    columns = ["doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken"]
+    return found.select(*columns)
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op6_interleaved_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return quality_rules(table(spark, sf_dir, "documents"), labels)
+
+
+@query("op9_personal_data")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents")).drop("clean")
