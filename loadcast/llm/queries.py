@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadcast.llm.decontamination import find_leaks
+from loadcast.llm.language import fit, identify
+from loadcast.llm.line_templates import without_templates
 from loadcast.llm.mixing import MIX_SQL, mixture
 from loadcast.llm.near_dedup import near_duplicates
 from loadcast.llm.pii import personal_data
@@ -72,3 +75,36 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_personal_data")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents")).drop("clean")
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: their ``lang`` is the declaration, their source the host."""
+    docs = table(spark, sf_dir, "documents")
+    text, lang, source = F.col("text"), F.col("lang"), F.col("source")
+    return identify(docs, fit(docs), ["doc_id"], text, declared=lang, host=source)
+
+
+@query("language_id_of_pages")
+def language_id_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages: declared in the markup, pointed to by the address, with the host's prior."""
+    pages = table(spark, sf_dir, "pages")
+    model = fit(table(spark, sf_dir, "documents"))
+    declared = F.regexp_extract("html", r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]{2})", 1)
+    visible = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    return identify(
+        pages, model, ["page_id"], visible, declared=declared, address=F.col("url")
+    )
+
+
+@query("op8_benchmark_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    leaked = (F.size("leaked_items") > 0).alias("contaminated")
+    return found.select("doc_id", leaked, "leaked_items", "leaked_share")
+
+
+@query("op10_line_templates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_templates(table(spark, sf_dir, "documents"))
