@@ -38,7 +38,7 @@ def main() -> None:
     table = FeatureTable.get_or_create(spark, args.store, args.table, args.version, args.primary_key)
     schema = feature_schema() if args.record == "demand" else WEATHER_RECORD
     messages = topics.read_topic(spark, common.source_options(args, args.source), kind)
-    rows = topics.decode(messages, schema).drop("event_time")
+    rows = topics.decode(messages, schema, "arrival").drop("event_time")
     checkpoint = f"{args.checkpoint}/{args.table}_{args.run_id}"
     jobs.to_table(rows, table, checkpoint, args.run_id, live=args.mode == "live").awaitTermination()
 

@@ -107,7 +107,8 @@ def _weather_record() -> T.StructType:
 
 WEATHER_RECORD = _weather_record()
 
-TOPIC_MESSAGE = T.StructType().add("key", "string").add("value", "string")
+# ``offset`` is the place of a message among those that were written with it.
+TOPIC_MESSAGE = T.StructType().add("key", "string").add("value", "string").add("offset", "long")
 
 GEO_COLLECTION = T.StructType().add(
     "features",
@@ -139,9 +140,15 @@ REGISTRY_RECORD = (
     )
 )
 
-# What the streaming feature job keeps and adds.
-ROLLING_STATE = T.StructType().add("history", T.ArrayType(T.DoubleType())).add(
-    "last_ts", "long"
+# What the streaming feature job keeps: a region's latest rows in time order.
+ROLLING_STATE = (
+    T.StructType()
+    .add("ts", T.ArrayType(T.LongType()))
+    .add("demand", T.ArrayType(T.DoubleType()))
+    .add("rest", T.ArrayType(T.StringType()))
+    .add("arrival", T.ArrayType(T.StringType()))
+    .add("cut", "boolean")
+    .add("revision", "long")
 )
 
 

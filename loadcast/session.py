@@ -101,6 +101,12 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
     return len(files.globStatus(target) or []) > 0
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has made, if it is there."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small marker file, written under another name first so that it appears whole."""
     files, target = _file_system(spark, path)

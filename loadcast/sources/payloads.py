@@ -14,6 +14,7 @@ from loadcast.schemas import (
     WEATHER_FIELDS,
     WEATHER_PAYLOAD,
 )
+from loadcast.sources.topics import file_arrival
 
 
 def read_demand_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -25,6 +26,15 @@ def explode_demand(payloads: DataFrame) -> DataFrame:
     return payloads.select(F.inline("response.data"))
 
 
+def explode_in_order(payloads: DataFrame) -> DataFrame:
+    """The same of landed files, with ``seq``: text that sorts rows by arrival.
+
+    Order is file time, file, and place in the payload.
+    """
+    placed = payloads.select(F.posexplode("response.data").alias("_at", "_row"), "_metadata")
+    return placed.select("_row.*", file_arrival(F.col("_at")).alias("seq"))
+
+
 def demand_from_text(text: DataFrame, column: str = "value") -> DataFrame:
     """The same rows from payloads held as JSON text in a column."""
     return explode_demand(text.select(F.from_json(column, DEMAND_PAYLOAD).alias("_p")).select("_p.*"))

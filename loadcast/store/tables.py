@@ -7,16 +7,13 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loadcast.functions.time import DAY_MS, utc_date
 from loadcast.operators import joins
 from loadcast.operators.ranges import TimeRange
 from loadcast.operators.series import Series
-from loadcast.session import any_match, materialise, path_exists, write_text
-
-# Up to this many dates a partition filter lists them; beyond it a date range prunes.
-LISTED_DATES = 1000
-
+from loadcast.session import any_match, materialise, path_exists, remove, write_text
 
 def _save_json(spark: SparkSession, path: str, record: dict) -> None:
     write_text(spark, path, json.dumps(record))
@@ -41,7 +38,11 @@ class FeatureTable:
     ``upsert`` rewrites the touched dates only.  The new content of those dates is first
     staged under the batch id; the table itself is overwritten from the finished stage.  A
     replay after a crash finds either no stage (and computes it from an untouched table), or a
-    finished one (and copies it again), or the batch noted as done (and skips it).
+    finished one (and copies it again), or the batch noted as done (and skips it).  The stage is
+    removed once the batch is done.
+
+    The schema is stored with the table.  A batch's columns are cast to it; columns that a batch
+    lacks keep their stored values, new columns are added to the table (NULL in older rows).
     """
 
     def __init__(self, spark: SparkSession, root: str, meta: TableMeta):
@@ -85,29 +86,63 @@ class FeatureTable:
         """Whether any date is published (a dynamic overwrite leaves no success marker)."""
         return any_match(self.spark, f"{self.path}/event_date=*")
 
+    def _schema(self) -> StructType | None:
+        """The schema as stored now: another writer may have added columns."""
+        if not path_exists(self.spark, self._meta_path):
+            return None
+        stored = _load_json(self.spark, self._meta_path)["schema"]
+        return StructType.fromJson(json.loads(stored)) if stored else None
+
+    def _add_columns(self, batch: DataFrame) -> StructType:
+        """Store the batch's columns that the table does not have yet."""
+        schema = self._schema() or StructType()
+        fields = [f for f in batch.schema if f.name not in schema.names]
+        if fields:
+            for field in fields:
+                schema = schema.add(field.name, field.dataType)
+            meta = {**asdict(self.meta), "schema": schema.json()}
+            _save_json(self.spark, self._meta_path, meta)
+        return schema
+
     def _dated(self, spark: SparkSession | None = None) -> DataFrame:
-        return (spark or self.spark).read.parquet(self.path)
+        schema = self._schema()
+        reader = (spark or self.spark).read
+        if schema is not None:
+            reader = reader.schema(StructType(schema.fields).add("event_date", "date"))
+        return reader.parquet(self.path)
 
     def read(self, window: TimeRange | None = None) -> DataFrame:
         """All columns; a time range also prunes the date partitions."""
         rows = self._dated()
         if window is not None:
+            # Dates end with the year 9999.
             first, last = (
-                F.date_from_unix_date(F.lit(ms // DAY_MS))
+                F.date_from_unix_date(F.lit(max(-719_162, min(2_932_896, ms // DAY_MS))))
                 for ms in (window.start_ms, window.end_ms)
             )
             rows = rows.filter(F.col("event_date").between(first, last))
             rows = rows.filter(window.contains(self.meta.event_time))
         return rows.drop("event_date")
 
-    def upsert(self, batch: DataFrame, batch_id: str, order_by: list[str] | None = None) -> None:
-        """Insert or replace rows by key; of equal keys in the batch the highest order wins."""
+    def upsert(
+        self,
+        batch: DataFrame,
+        batch_id: str,
+        order_by: list[str] | None = None,
+        leave_out: list[str] | None = None,
+    ) -> None:
+        """Insert or replace rows by key; of equal keys in the batch the highest order wins.
+
+        ``leave_out`` names columns that only order the batch.  A row without event time fails the
+        batch.
+        """
         spark = batch.sparkSession
         done, stage = f"{self.base}/done/{batch_id}", f"{self.base}/stage/{batch_id}"
         if path_exists(spark, done):
+            remove(spark, stage)
             return
         if not path_exists(spark, f"{stage}/_SUCCESS"):
-            self._stage(spark, batch, stage, order_by or [])
+            self._stage(spark, batch, stage, order_by or [], leave_out or [])
         staged = spark.read.parquet(stage)
         if staged.limit(1).count():
             (
@@ -119,33 +154,56 @@ class FeatureTable:
                 .parquet(self.path)
             )
         _save_json(spark, done, {"batch": str(batch_id)})
+        remove(spark, stage)
 
-    def _stage(self, spark: SparkSession, batch: DataFrame, stage: str, order_by: list[str]) -> None:
-        incoming = batch.withColumn("event_date", utc_date(self.meta.event_time))
+    def _stage(
+        self,
+        spark: SparkSession,
+        batch: DataFrame,
+        stage: str,
+        order_by: list[str],
+        leave_out: list[str] = (),
+    ) -> None:
+        time_column = F.col(self.meta.event_time)
+        missing = F.raise_error(F.lit(f"{self.meta.name}: a row has no {self.meta.event_time}"))
+        date = F.when(time_column.isNull(), missing.cast("date")).otherwise(
+            utc_date(self.meta.event_time)
+        )
+        content = batch.drop(*leave_out)
         merge = self.exists()
+        schema = self._add_columns(content)
+        cast = {c: F.col(c).cast(schema[c].dataType) for c in content.columns}
+        incoming = batch.withColumns(cast).withColumn("event_date", date)
+        rows = incoming.withColumn("_new", F.lit(1))
+        scratch = None
         if merge:
             # Read twice below: its dates first, then its rows.  Written once, so that neither
             # a source nor a stateful step runs again, also when executors are lost.
             incoming = materialise(incoming, "batch")
-        rows = incoming.withColumn("_new", F.lit(1))
-        if merge:
+            scratch = incoming.inputFiles()[0].rpartition("/")[0] if incoming.inputFiles() else None
             touched = incoming.select("event_date").distinct()
-            stored = self._dated(spark)
-            dates = [row[0] for row in touched.limit(LISTED_DATES + 1).collect()]
-            if len(dates) <= LISTED_DATES:
-                stored = stored.filter(F.col("event_date").isin(dates))
-            else:
-                low, high = touched.agg(F.min("event_date"), F.max("event_date")).first()
-                stored = stored.filter(F.col("event_date").between(low, high))
-                stored = stored.join(touched, "event_date", "left_semi")
-            rows = rows.unionByName(stored.withColumn("_new", F.lit(0)), allowMissingColumns=True)
-        rest = [c for c in incoming.columns if c not in self.keys]
+            low, high = touched.agg(F.min("event_date"), F.max("event_date")).first()
+            stored = self._dated(spark).filter(F.col("event_date").between(low, high))
+            stored = stored.join(touched, "event_date", "left_semi")
+            rows = incoming.withColumn("_new", F.lit(1)).unionByName(
+                stored.withColumn("_new", F.lit(0)), allowMissingColumns=True
+            )
+        given = [c for c in content.columns if c not in self.keys]
+        absent = [c for c in schema.names if c not in self.keys and c not in given]
         # Without an order column the row itself decides, so that a replay gives the same.
-        rank = F.struct("_new", *order_by, F.xxhash64(*rest))
-        latest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-        latest.select(*self.keys, "_row.*").select(*incoming.columns).write.mode(
-            "overwrite"
-        ).parquet(stage)
+        rank = F.struct("_new", *order_by, F.xxhash64("event_date", *given))
+        picked = [F.max_by(F.struct("event_date", *given), rank).alias("_row")]
+        if absent and merge:
+            old = F.when(F.col("_new") == 0, F.lit(1))
+            picked.append(F.max_by(F.struct(*absent), old).alias("_old"))
+        latest = rows.groupBy(*self.keys).agg(*picked)
+        parts = ["_row.*", "_old.*"][: len(picked)]
+        latest = latest.select(*self.keys, *parts)
+        for name in absent if not merge else ():
+            latest = latest.withColumn(name, F.lit(None).cast(schema[name].dataType))
+        latest.select(*schema.names, "event_date").write.mode("overwrite").parquet(stage)
+        if scratch:
+            remove(spark, scratch)
 
 
 @dataclass(frozen=True)
@@ -196,8 +254,9 @@ class FeatureStore:
         right = self.table(meta.right, meta.right_version)
         past = None
         if window is not None:
-            reach = window.start_ms if meta.tolerance_ms is None else meta.tolerance_ms
-            past = TimeRange(window.start_ms - reach, window.end_ms)
+            # Without a tolerance the whole past counts, before 1970 as well.
+            low = -(2**62) if meta.tolerance_ms is None else window.start_ms - meta.tolerance_ms
+            past = TimeRange(low, window.end_ms)
         series = Series(left.meta.primary_key[0], left.meta.event_time)
         return joins.asof_join(
             left.read(window), right.read(past), series, meta.prefix, meta.tolerance_ms

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loadcast.functions.time import with_calendar
 from loadcast.operators.reshape import known_types, typed_records
 from loadcast.schemas import DEMAND_RECORD, with_rolling
-from loadcast.sources.payloads import explode_demand
+from loadcast.sources.payloads import explode_in_order
 from loadcast.sources.topics import decode, encode
 from loadcast.store.tables import FeatureTable
 from loadcast.streaming.state import LatestReadingProcessor, RollingProcessor
@@ -18,11 +20,15 @@ LIVE_INTERVAL = "10 minutes"
 
 
 def feature_stream(messages: DataFrame) -> DataFrame:
-    """Demand messages to feature rows: keyed state first, then the stateless calendar."""
-    readings = decode(messages, DEMAND_RECORD).drop("event_time")
+    """Demand messages to feature rows: keyed state first, then the stateless calendar.
+
+    ``revision`` orders the rows of an hour: a late message makes later hours appear again.
+    """
+    readings = decode(messages, DEMAND_RECORD, "arrival").drop("event_time")
+    readings = readings.where("region IS NOT NULL AND timestamp_ms IS NOT NULL")
     rolled = readings.groupBy("region").transformWithStateInPandas(
         statefulProcessor=RollingProcessor(),
-        outputStructType=with_rolling(DEMAND_RECORD),
+        outputStructType=with_rolling(DEMAND_RECORD).add("revision", "long"),
         outputMode="Append",
         timeMode="None",
     )
@@ -30,8 +36,13 @@ def feature_stream(messages: DataFrame) -> DataFrame:
 
 
 def live_readings(payloads: DataFrame) -> DataFrame:
-    """Polled payloads to the newest reading per region, only when it changed."""
-    long = known_types(typed_records(explode_demand(payloads)))
+    """Polled payload files to the newest reading per region, only when it changed.
+
+    Rows whose period cannot be read are counted by the observation ``periods`` and left out.
+    """
+    long = known_types(typed_records(explode_in_order(payloads), "seq"))
+    unreadable = F.count_if(F.col("timestamp_ms").isNull()).alias("unreadable")
+    long = long.observe("periods", unreadable).where("timestamp_ms IS NOT NULL")
     return long.groupBy("region").transformWithStateInPandas(
         statefulProcessor=LatestReadingProcessor(),
         outputStructType=DEMAND_RECORD,
@@ -50,7 +61,15 @@ def _start(writer, checkpoint: str, live: bool) -> StreamingQuery:
 def to_topic(
     stream: DataFrame, options: dict[str, str], checkpoint: str, kind: str = "kafka", live: bool = False
 ) -> StreamingQuery:
-    writer = encode(stream).writeStream.outputMode("append")
+    writer = encode(stream)
+    if kind != "kafka" and "revision" in stream.columns:
+        # Broker offsets keep the order of sending; files need it with each message.
+        writer = stream.select(
+            F.col("region").alias("key"),
+            F.to_json(F.struct("*")).alias("value"),
+            F.col("revision").alias("offset"),
+        )
+    writer = writer.writeStream.outputMode("append")
     if kind == "kafka":
         writer = writer.format("kafka").options(**options)
     else:
@@ -59,18 +78,36 @@ def to_topic(
 
 
 def to_table(
-    stream: DataFrame, table: FeatureTable, checkpoint: str, run_id: str, live: bool = False
+    stream: DataFrame,
+    table: FeatureTable,
+    checkpoint: str,
+    run_id: str,
+    live: bool = False,
+    retries: int = 3,
+    delay_s: float = 30.0,
 ) -> StreamingQuery:
-    """Upsert each micro-batch; a failed batch replays under the same id and has one effect."""
+    """Upsert each micro-batch; a failed batch replays under the same id and has one effect.
+
+    Of several rows for a key the highest ``revision``, else the last to arrive, wins; both
+    columns stay out of the table.  A failed write is tried again after a delay.
+    """
+    order = [c for c in ("revision", "arrival") if c in stream.columns]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, f"{run_id}-{batch_id}")
+        for attempt in range(retries + 1):
+            try:
+                table.upsert(batch, f"{run_id}-{batch_id}", order_by=order, leave_out=order)
+                return
+            except Exception:
+                if attempt == retries:
+                    raise
+                time.sleep(delay_s)
 
     return _start(stream.writeStream.foreachBatch(write), checkpoint, live)
 
 
 def progress(query: StreamingQuery) -> list[dict]:
-    """Rows per finished micro-batch, newest last."""
+    """Rows per micro-batch, newest last, of the most recent ones that Spark keeps."""
     return [
         {"batch": p["batchId"], "rows": p["numInputRows"]} for p in query.recentProgress
     ]

@@ -1,12 +1,13 @@
 """Per-key state of the streaming jobs.
 
 The processors see one micro-batch of one region at a time.  Its size is set by the rate
-limit of the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``), and what survives a
-batch is at most one rolling history.
+limit of the source (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``); where it cuts does not
+change what is stored in the end, as every row carries its order of arrival.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,53 +24,152 @@ from loadcast.schemas import (
 )
 
 HISTORY = max(*ROLLING_WINDOWS, *(n + 1 for n in LAGS))
+REACH = 720
+BLOCK = 4096
+REST = ("human_read_period", "forecast", "ti", "ng")
 
 
-def rolling_features(past: np.ndarray, new: np.ndarray) -> dict[str, np.ndarray]:
-    """Features of the ``new`` values after at most ``HISTORY`` earlier ones; NaN is none."""
-    series = np.concatenate([past, new])
+def _block(series: np.ndarray, start: int) -> dict[str, np.ndarray]:
+    """Features of ``series[start:]``; NaN is none."""
     out = {}
     for n in ROLLING_WINDOWS:
         mean, median = np.full(len(series), np.nan), np.full(len(series), np.nan)
         if len(series) >= n:
             frames = np.lib.stride_tricks.sliding_window_view(series, n)
             mean[n - 1 :], median[n - 1 :] = frames.mean(axis=1), np.median(frames, axis=1)
-        out[f"mean_{n}"], out[f"median_{n}"] = mean[len(past) :], median[len(past) :]
+        out[f"mean_{n}"], out[f"median_{n}"] = mean[start:], median[start:]
     for n in LAGS:
         lag = np.full(len(series), np.nan)
         lag[n:] = series[: max(len(series) - n, 0)]
-        out[f"lag_{n}h"] = lag[len(past) :]
+        out[f"lag_{n}h"] = lag[start:]
     return out
 
 
-class RollingProcessor(StatefulProcessor):
-    """Append rolling and lag features to each row.
+def rolling_features(past: np.ndarray, new: np.ndarray) -> dict[str, np.ndarray]:
+    """Features of the ``new`` values after at most ``HISTORY`` earlier ones; NaN is none.
 
-    Rows of a micro-batch fold in event-time order, batches in order of arrival.  A second row
-    for the newest hour replaces it.  Rows without demand pass with NULL features and leave
-    the state alone.
+    The medians copy each frame, so long inputs go through in blocks.
+    """
+    series = np.concatenate([past, new])
+    parts = []
+    for start in range(len(past), max(len(series), len(past) + 1), BLOCK):
+        low = max(0, start - HISTORY)
+        parts.append(_block(series[low : start + BLOCK], start - low))
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+
+
+class RollingProcessor(StatefulProcessor):
+    """Rolling and lag features of each row, right for any order of arrival.
+
+    The state holds a region's latest rows in time order with their arrival, ``HISTORY`` rows
+    more than the ``REACH`` rows that may still change.  Of several rows for an hour the one
+    that arrived last counts, in whatever order batches bring them.  A late or corrected hour is
+    inserted, and the rows behind it whose features it changes are emitted again under a higher
+    ``revision``.  Rows without demand pass with NULL features and are no part of the series.
+    Rows older than the reach pass with NULL features and change nothing.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getValueState("rolling", ROLLING_STATE)
 
+    def _stored(self) -> tuple[pd.DataFrame, bool, int]:
+        names = ["timestamp_ms", "demand", "rest", "arrival"]
+        if not self._state.exists():
+            return pd.DataFrame({n: [] for n in names}), False, 0
+        ts, demand, rest, arrival, cut, revision = self._state.get()
+        return pd.DataFrame(dict(zip(names, (ts, demand, rest, arrival), strict=True))), cut, revision
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values):
+        # The rate limit of the source bounds the micro-batch.
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.drop_duplicates("timestamp_ms", keep="last").sort_values("timestamp_ms")
-        history, last_ts = np.empty(0), None
-        if self._state.exists():
-            stored = self._state.get()
-            history, last_ts = np.asarray(stored[0], dtype=float), stored[1]
-        present = batch[batch["demand"].notna()]
-        if len(present):
-            if last_ts is not None and present["timestamp_ms"].iloc[0] == last_ts:
-                history = history[:-1]
-            new = present["demand"].to_numpy(dtype=float)
-            features = rolling_features(history, new)
-            kept = np.concatenate([history, new])[-HISTORY:]
-            self._state.update((kept.tolist(), int(present["timestamp_ms"].iloc[-1])))
-            batch = batch.join(pd.DataFrame(features, index=present.index))
-        yield batch.reindex(columns=[*DEMAND_RECORD.names, *ROLLING_COLUMNS])
+        known, cut, revision = self._stored()
+        rest = [
+            json.dumps([None if pd.isna(x) else x if isinstance(x, str) else int(x) for x in r])
+            for r in batch[list(REST)].itertuples(index=False)
+        ]
+        fresh = pd.DataFrame(
+            {
+                "timestamp_ms": batch["timestamp_ms"].astype("int64"),
+                "demand": batch["demand"].astype(float),
+                "rest": rest,
+                "arrival": batch["arrival"],
+            }
+        )
+        fresh = fresh.sort_values(["arrival", "rest"], kind="stable")
+        fresh = fresh.drop_duplicates("timestamp_ms", keep="last")
+        stored = known.set_index("timestamp_ms")["arrival"]
+        before = fresh["timestamp_ms"].map(stored)
+        fresh = fresh[before.isna() | (fresh["arrival"] > before.fillna(""))]
+        late = fresh.iloc[:0]
+        if cut:
+            horizon = known.loc[known["demand"].notna(), "timestamp_ms"].iloc[HISTORY - 1]
+            late = fresh[fresh["timestamp_ms"] <= horizon]
+            fresh = fresh[fresh["timestamp_ms"] > horizon]
+        rows_now = pd.concat(
+            [known[~known["timestamp_ms"].isin(fresh["timestamp_ms"])].assign(new=False), fresh.assign(new=True)]
+            if len(known)
+            else [fresh.assign(new=True)],
+            ignore_index=True,
+        ).sort_values("timestamp_ms", ignore_index=True)
+        present = rows_now["demand"].notna().to_numpy()
+        # Place in the series of each row, or of the next one for rows outside it.
+        place = np.cumsum(present) - present
+        new = rows_now["new"].to_numpy(bool)
+        values = rows_now.loc[present, "demand"].to_numpy(float)
+        touched = np.zeros(len(values) + HISTORY + 1, np.int64)
+        np.add.at(touched, place[new], 1)
+        sums = np.concatenate([[0], np.cumsum(touched)])
+        at = np.arange(len(values))
+        affected = sums[at + 1] - sums[np.maximum(at - HISTORY, 0)] > 0
+        emitted = new.copy()
+        emitted[np.flatnonzero(present)[affected]] = True
+        features = pd.DataFrame(index=rows_now.index, columns=list(ROLLING_COLUMNS), dtype=float)
+        if affected.any():
+            first = int(np.flatnonzero(affected)[0])
+            found = rolling_features(values[max(0, first - HISTORY) : first], values[first:])
+            index = np.flatnonzero(present)[first:]
+            for name, column in found.items():
+                features.loc[index, name] = column
+        self._keep(rows_now, present, cut, revision + 1)
+        out = pd.concat([rows_now[emitted], late], ignore_index=True)
+        more = pd.concat([features[emitted], features.iloc[:0].reindex(late.index)], ignore_index=True)
+        yield self._wide(key[0], out, more, revision + 1)
+
+    def _keep(self, rows: pd.DataFrame, present: np.ndarray, cut: bool, revision: int) -> None:
+        keep = HISTORY + REACH
+        where = np.flatnonzero(present)
+        start = int(where[-keep]) if len(where) > keep else 0
+        # Rows without demand do not pile up where demand stays away.
+        start = max(start, len(rows) - 4 * keep)
+        left = rows.iloc[start:]
+        enough = left["demand"].notna().sum() > HISTORY
+        self._state.update(
+            (
+                left["timestamp_ms"].astype("int64").tolist(),
+                [None if pd.isna(x) else float(x) for x in left["demand"]],
+                left["rest"].tolist(),
+                left["arrival"].tolist(),
+                bool((cut or start > 0) and enough),
+                revision,
+            )
+        )
+
+    @staticmethod
+    def _wide(region: str, rows: pd.DataFrame, features: pd.DataFrame, revision: int) -> pd.DataFrame:
+        rest = pd.DataFrame([json.loads(x) for x in rows["rest"]], columns=list(REST))
+        whole = {n: rest[n].astype("Int64") for n in REST[1:]}
+        out = pd.DataFrame(
+            {
+                "timestamp_ms": rows["timestamp_ms"].astype("int64"),
+                "human_read_period": rest["human_read_period"],
+                "region": region,
+                "demand": rows["demand"].astype("Int64"),
+                **whole,
+                "revision": revision,
+            }
+        )
+        out = pd.concat([out, features], axis=1)
+        return out[[*DEMAND_RECORD.names, *ROLLING_COLUMNS, "revision"]]
 
     def close(self) -> None:
         pass
@@ -85,7 +185,7 @@ class LatestReadingProcessor(StatefulProcessor):
         self._state = handle.getValueState("reading", "reading string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values):
-        batch = pd.concat(list(rows), ignore_index=True)
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
         newest = batch[batch["timestamp_ms"] == batch["timestamp_ms"].max()]
         values = newest.drop_duplicates("electricity_demand_type", keep="last").set_index(
             "electricity_demand_type"

@@ -4,7 +4,6 @@ import pytest
 
 from loadcast.operators.ranges import TimeRange
 from loadcast.session import path_exists
-from loadcast.store import tables
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
 from tests.helpers import HOUR, START, demand_frame, series
 
@@ -32,9 +31,7 @@ def test_upsert_twice_equals_once(spark, folder):
     assert _content(table) == first == {(r, t): v for r, t, v in rows}
 
 
-@pytest.mark.parametrize("listed", [1000, 1])
-def test_late_correction_leaves_other_rows(spark, folder, monkeypatch, listed):
-    monkeypatch.setattr(tables, "LISTED_DATES", listed)
+def test_late_correction_leaves_other_rows(spark, folder):
     rows = series("a", 24 * 5)
     table = _table(spark, folder)
     table.upsert(demand_frame(spark, rows), "0")
@@ -55,6 +52,35 @@ def test_a_done_batch_is_skipped_and_a_finished_stage_is_reused(spark, folder):
     table.upsert(demand_frame(spark, [("a", START, 77)]), "1")
     assert _content(table) == {("a", START): 2}
     assert path_exists(spark, f"{table.base}/done/1")
+    assert not path_exists(spark, f"{table.base}/stage/1")
+
+
+def test_narrower_and_wider_batches_keep_all_columns(spark, folder):
+    table = _table(spark, folder)
+    kinds = "region string, timestamp_ms long, demand long, extra string"
+    table.upsert(spark.createDataFrame([("a", START, 1, "x"), ("a", START + HOUR, 2, "y")], kinds), "0")
+    table.upsert(demand_frame(spark, [("a", START, 10), ("b", START, 11)]), "1")
+    wide = spark.createDataFrame([("a", START + HOUR, 20, 7)], "region string, timestamp_ms long, demand int, more int")
+    table.upsert(wide, "2")
+    got = {(r["region"], r["timestamp_ms"] - START): (r["demand"], r["extra"], r["more"]) for r in table.read().collect()}
+    assert got == {("a", 0): (10, "x", None), ("b", 0): (11, None, None), ("a", HOUR): (20, "y", 7)}
+
+
+def test_a_row_without_event_time_is_refused(spark, folder):
+    table = _table(spark, folder)
+    table.upsert(demand_frame(spark, [("a", START, 1)]), "0")
+    with pytest.raises(Exception, match="has no timestamp_ms"):
+        table.upsert(demand_frame(spark, [("a", None, 2)]), "1")
+    assert _content(table) == {("a", START): 1}
+
+
+def test_views_see_rows_before_1970(spark, folder):
+    _table(spark, folder).upsert(demand_frame(spark, [("a", -HOUR, 1), ("a", HOUR, 2)]), "0")
+    old = spark.createDataFrame([("a", -500 * HOUR, 1.5)], "region string, timestamp_ms long, temperature double")
+    FeatureTable.get_or_create(spark, folder, "weather", 1, "region", "timestamp_ms").upsert(old, "0")
+    view = FeatureStore(spark, folder).get_or_create_view(ViewMeta("v", 1, "demand", 1, "weather", 1))
+    rows = FeatureStore(spark, folder).read_view(view, TimeRange(-2 * HOUR, 2 * HOUR)).collect()
+    assert [r["weather_temperature"] for r in rows] == [1.5, 1.5]
 
 
 def test_order_column_decides_inside_a_batch(spark, folder):

@@ -1,8 +1,10 @@
 """Streams over topic files: parity with the batch windows, restarts, and change detection."""
 
 import json
+import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from loadcast.schemas import CALENDAR_COLUMNS, DEMAND_PAYLOAD, DEMAND_RECORD, ROLLING_COLUMNS
@@ -10,7 +12,7 @@ from loadcast.session import stream_session
 from loadcast.sources import topics
 from loadcast.store.tables import FeatureTable
 from loadcast.streaming import jobs
-from loadcast.streaming.state import HISTORY, rolling_features
+from loadcast.streaming.state import HISTORY, RollingProcessor, rolling_features
 from tests.helpers import HOUR, START, assert_features, expected_rolling, series
 
 
@@ -64,6 +66,82 @@ def test_a_second_value_for_the_newest_hour_replaces_it(spark, folder):
     assert_features(table.read().collect(), want, ROLLING_COLUMNS)
 
 
+def test_late_shuffled_and_repeated_hours_give_the_batch_features(spark, folder):
+    """Hours arrive in any order over many batches; wrong values are corrected later."""
+    spark = stream_session(spark, 4)
+    rows = series("a", 400) + series("b", 30)
+    rng = random.Random(5)
+    order = sorted(rows, key=lambda r: r[1] + rng.randint(0, 150) * HOUR)
+    wrong = [(r, t, 1) for r, t, _ in rng.sample(order[:200], 40)]
+    parts = [order[k : k + 110] for k in range(0, len(order), 110)]
+    # Wrong values come before the right one of their hour.
+    first = {(r, t) for r, t, _ in parts[0]}
+    sent = [[w for w in wrong if (w[0], w[1]) in first] + parts[0], *parts[1:], parts[0][:30]]
+    for part in sent:
+        topics.write_topic(_records(spark, part).coalesce(1), {"path": f"{folder}/topic"}, kind="files")
+    options = {"path": f"{folder}/topic", "maxFilesPerTrigger": "1"}
+    table = FeatureTable.get_or_create(spark, folder, "f", 1, "region")
+    stream = jobs.feature_stream(topics.read_topic(spark, options, kind="files"))
+    query = jobs.to_table(stream, table, f"{folder}/checkpoint", "run")
+    query.awaitTermination()
+    assert len([p for p in jobs.progress(query) if p["rows"]]) == len(sent) > 2
+    assert_features(table.read().collect(), expected_rolling(rows), ROLLING_COLUMNS)
+
+
+def test_hours_beyond_the_reach_pass_without_features(spark, folder, monkeypatch):
+    spark = stream_session(spark, 4)
+    monkeypatch.setattr("loadcast.streaming.state.REACH", 30)
+    rows = series("a", 300)
+    old = [("a", START - 9 * HOUR, 5)]
+    for part in (rows, old):
+        topics.write_topic(_records(spark, part), {"path": f"{folder}/topic"}, kind="files")
+    state = RollingProcessor()
+    state._state = _Memory()
+    frames = [_frame(part, k) for k, part in enumerate((rows, old))]
+    list(state.handleInputRows(("a",), iter(frames[:1]), None))
+    out = next(iter(state.handleInputRows(("a",), iter(frames[1:]), None)))
+    assert len(out) == 1 and out["mean_3"].isna().all() and out["demand"].iloc[0] == 5
+
+
+class _Memory:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def _frame(rows, n):
+    return pd.DataFrame(
+        [(t, f"p{t}", r, v, None, None, None, f"{n:05d}|{k:05d}") for k, (r, t, v) in enumerate(rows)],
+        columns=[*DEMAND_RECORD.names, "arrival"],
+    )
+
+
+def test_a_failed_write_is_tried_again(spark, folder):
+    spark = stream_session(spark, 4)
+    rows = series("a", 5)
+    topics.write_topic(_records(spark, rows), {"path": f"{folder}/topic"}, kind="files")
+    table = FeatureTable.get_or_create(spark, folder, "f", 1, "region")
+    upsert, calls = table.upsert, []
+
+    def failing(*args, **kwargs):
+        calls.append(args)
+        if len(calls) < 3:
+            raise TimeoutError("sink is away")
+        upsert(*args, **kwargs)
+
+    table.upsert = failing
+    stream = jobs.feature_stream(topics.read_topic(spark, {"path": f"{folder}/topic"}, kind="files"))
+    jobs.to_table(stream, table, f"{folder}/checkpoint", "run", delay_s=0.01).awaitTermination()
+    assert len(calls) == 3 and table.read().count() == 5
+
+
 def _poll(folder, n, *records):
     data = [{"period": p, "respondent": "CAL", "type": t, "value": v} for p, t, v in records]
     with open(f"{folder}/payloads/{n}.json", "w") as out:
@@ -78,6 +156,7 @@ def test_live_readings_are_sent_when_they_change(spark, folder, tmp_path):
         [("2024-01-01T00", "D", "5"), ("2024-01-01T01", "D", "6"), ("2024-01-01T01", "DF", "8")],
         [("2024-01-01T00", "D", "5"), ("2024-01-01T01", "DF", "8"), ("2024-01-01T01", "D", "6")],
         [("2024-01-01T01", "D", "6"), ("2024-01-01T01", "DF", "9")],
+        [("bad", "D", "6")],
     ]
     for n, records in enumerate(polls):
         _poll(folder, n, *records)
