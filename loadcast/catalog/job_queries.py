@@ -6,13 +6,25 @@ from pyspark.sql import functions as F
 
 from loadcast.catalog import inputs as i
 from loadcast.catalog.registry import query, r, rs
+from loadcast.catalog.scalar_queries import (
+    CATEGORY_SQL,
+    CYCLIC_SQL,
+    HOLIDAYS,
+    category_number_sql,
+)
 from loadcast.catalog.series_queries import SPARSE_SQL, _sparse_weather
-from loadcast.functions.time import DAY_MS
+from loadcast.functions.time import DAY_MS, HOUR_MS
 from loadcast.models.boosted import Params
 from loadcast.operators import quality, reshape
 from loadcast.operators.ranges import TimeRange
 from loadcast.plans import features, scoring, training
-from loadcast.schemas import DEMAND_PAYLOAD, DEMAND_RECORD, METRICS, ROLLING_COLUMNS
+from loadcast.schemas import (
+    CALENDAR_COLUMNS,
+    DEMAND_PAYLOAD,
+    DEMAND_RECORD,
+    METRICS,
+    ROLLING_COLUMNS,
+)
 from loadcast.session import materialise, scratch_path, stream_session
 from loadcast.sources import exports, topics
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
@@ -28,19 +40,44 @@ EVENT_RANGE = TimeRange(MIDDLE_MS - 4 * DAY_MS, MIDDLE_MS + 9 * DAY_MS)
     "upsert_latest",
     "WITH " + i.HOURLY + f"""
     SELECT region, timestamp_ms,
-           CASE WHEN timestamp_ms >= {MIDDLE_MS} THEN demand + 1 ELSE demand END AS demand
+           CASE WHEN timestamp_ms >= {MIDDLE_MS} THEN demand + 1 ELSE demand END AS demand,
+           demand * 2 AS doubled,
+           CASE WHEN timestamp_ms >= {MIDDLE_MS + DAY_MS} THEN demand * 3 END AS added
     FROM hourly""",
 )
 def upsert_latest(spark, sf_dir):
-    """Insert all rows, then correct the later half twice under one batch id."""
+    """Insert all rows, correct the later half twice under one batch id, then add a column.
+
+    The corrections lack a column, which keeps its values; the last batch has one more.
+    """
     root = scratch_path(spark, "store")
     table = FeatureTable.get_or_create(spark, root, "demand", 1, "region", "timestamp_ms")
     hourly = i.hourly(spark, sf_dir)
-    table.upsert(hourly, "load")
+    table.upsert(hourly.withColumn("doubled", F.col("demand") * 2), "load")
     late = hourly.filter(F.col("timestamp_ms") >= MIDDLE_MS)
     corrected = late.withColumn("demand", F.col("demand") + 1)
     table.upsert(corrected, "fix")
     table.upsert(corrected.withColumn("demand", F.col("demand") * 0), "fix")
+    wider = late.filter(F.col("timestamp_ms") >= MIDDLE_MS + DAY_MS)
+    wider = wider.select("region", "timestamp_ms", (F.col("demand") * 3).alias("added"))
+    table.upsert(wider, "more")
+    return table.read()
+
+
+@query("upsert_last_write", "WITH " + i.MERGED + "SELECT region, timestamp_ms, demand FROM merged")
+def upsert_last_write(spark, sf_dir):
+    """One batch with every reading of an hour: the last one sent wins, wherever its row is."""
+    root = scratch_path(spark, "store")
+    table = FeatureTable.get_or_create(spark, root, "demand", 1, "region", "timestamp_ms")
+    demand = F.when(F.col("electricity_demand_type") == "D", F.col("electricity_demand"))
+    rows = reshape.known_types(i.typed(spark, sf_dir)).select(
+        "region",
+        "timestamp_ms",
+        demand.alias("demand"),
+        (F.col("electricity_demand_type") == "D").alias("is_demand"),
+        "seq",
+    )
+    table.upsert(rows, "load", order_by=["is_demand", "seq"], leave_out=["is_demand", "seq"])
     return table.read()
 
 
@@ -66,38 +103,92 @@ def feature_view_range(spark, sf_dir):
     return store.read_view(view, EVENT_RANGE)
 
 
-def _write_in_time_order(frame, ts, path, days):
-    """Three landed writes, oldest first."""
+PARTITIONS = 4
+
+
+def _write_messages(frame, path, days, corrected=False):
+    """Three writes to a topic of four partitions, oldest first.
+
+    ``corrected``: every seventh hour is sent one write too late, every eleventh with a wrong
+    value before its right one, and every fifth a second time at the end.
+    """
     first, second = (MIDDLE_MS + d * DAY_MS for d in days)
-    pieces = (
-        F.col(ts) < first,
-        (F.col(ts) >= first) & (F.col(ts) < second),
-        F.col(ts) >= second,
-    )
-    for piece in pieces:
-        topics.write_topic(frame.filter(piece), {"path": path}, kind="files")
+    ms, hour = F.col("timestamp_ms"), F.floor(F.col("timestamp_ms") / HOUR_MS)
+    piece = F.when(ms < first, 0).when(ms < second, 1).otherwise(2)
+    frame = frame.withColumn("_piece", piece)
+    sent = frame
+    if corrected:
+        late = F.least(F.lit(2), piece + F.when(hour % 7 == 0, 1).otherwise(0))
+        sent = frame.withColumn("_piece", late)
+        wrong = frame.where(hour % 11 == 0).withColumn("demand", F.col("demand") + 1000)
+        wrong = wrong.where((hour % 7 == 0) & (F.col("_piece") < 2))
+        again = frame.where(hour % 5 == 0).withColumn("_piece", F.lit(3))
+        sent = sent.unionByName(wrong).unionByName(again)
+    sent = materialise(sent, "messages")
+    for k in range(4 if corrected else 3):
+        part = sent.where(F.col("_piece") == k).drop("_piece").repartition(PARTITIONS, "region")
+        topics.write_topic(part, {"path": path}, kind="files")
 
 
-@query(
-    "stream_features",
-    "WITH " + i.MERGED + f""", hourly AS (
+def _feature_table(spark, sf_dir, corrected):
+    spark = stream_session(spark, STATE_PARTITIONS)
+    root = scratch_path(spark, "stream")
+    _write_messages(i.merged(spark, sf_dir), f"{root}/topic", (-5, 5), corrected)
+    # Each write is one micro-batch or more.
+    options = {"path": f"{root}/topic", "maxFilesPerTrigger": str(PARTITIONS)}
+    messages = topics.read_topic(spark, options, kind="files")
+    table = FeatureTable.get_or_create(spark, root, "features", 1, "region", "timestamp_ms")
+    query_ = jobs.to_table(jobs.feature_stream(messages), table, f"{root}/checkpoint", "run")
+    query_.awaitTermination()
+    names = [*DEMAND_RECORD.names, *ROLLING_COLUMNS, *CALENDAR_COLUMNS]
+    return query_, table.read().select(*names)
+
+
+STREAM_SQL = "WITH " + i.MERGED + ", " + HOLIDAYS + f""", hourly AS (
       SELECT region, timestamp_ms, demand FROM merged WHERE demand IS NOT NULL), rolled AS (
-      SELECT region, timestamp_ms, {i.ROLL_COLUMNS} FROM hourly {i.WINDOWS})
+      SELECT region, timestamp_ms, {i.ROLL_COLUMNS} FROM hourly {i.WINDOWS}),
+    timed AS (
+      SELECT *, make_timestamp(timestamp_ms * 1000) AS t FROM merged),
+    dated AS (
+      SELECT *, {CATEGORY_SQL} AS hour_category FROM timed)
     SELECT m.region, m.timestamp_ms, m.human_read_period, m.demand, m.forecast, m.ti, m.ng,
-           {rs(*ROLLING_COLUMNS)}
-    FROM merged m LEFT JOIN rolled r
-      ON m.region = r.region AND m.timestamp_ms = r.timestamp_ms""",
-)
+           {rs(*ROLLING_COLUMNS)}, hour_category,
+           {category_number_sql("hour_category")} AS hour_category_num,
+           CAST(CAST(t AS DATE) IN (SELECT day FROM holidays) AS INTEGER) AS is_holiday,
+           {", ".join(r(sql, name) for name, sql in CYCLIC_SQL.items())}
+    FROM dated m LEFT JOIN rolled r
+      ON m.region = r.region AND m.timestamp_ms = r.timestamp_ms"""
+
+
+@query("stream_features", STREAM_SQL)
 def stream_features(spark, sf_dir):
-    """Topic to keyed state to table, in several micro-batches; equals the batch windows."""
+    """Topic to keyed state to table, over several micro-batches; equals the batch windows."""
+    return _feature_table(spark, sf_dir, corrected=False)[1]
+
+
+@query("stream_features_late", STREAM_SQL)
+def stream_features_late(spark, sf_dir):
+    """The same with late, wrong and repeated messages; the last one of an hour counts."""
+    return _feature_table(spark, sf_dir, corrected=True)[1]
+
+
+@query(
+    "stream_tap",
+    "WITH " + i.MERGED + "SELECT count(*) AS messages, max(timestamp_ms) AS newest_ms FROM merged",
+)
+def stream_tap(spark, sf_dir):
+    """What a listener of the tapped stream sees: all messages, and the newest event time."""
     spark = stream_session(spark, STATE_PARTITIONS)
-    root = scratch_path(spark, "stream")
-    _write_in_time_order(i.merged(spark, sf_dir), "timestamp_ms", f"{root}/topic", (-5, 5))
-    messages = topics.read_topic(spark, {"path": f"{root}/topic"}, kind="files")
-    table = FeatureTable.get_or_create(spark, root, "features", 1, "region", "timestamp_ms")
-    stream = jobs.feature_stream(messages)
-    jobs.to_table(stream, table, f"{root}/checkpoint", "run").awaitTermination()
-    return table.read().select(*DEMAND_RECORD.names, *ROLLING_COLUMNS)
+    root = scratch_path(spark, "tap")
+    _write_messages(i.merged(spark, sf_dir), f"{root}/topic", (-5, 5))
+    options = {"path": f"{root}/topic", "maxFilesPerTrigger": str(PARTITIONS)}
+    messages = topics.decode(topics.read_topic(spark, options, kind="files"), DEMAND_RECORD)
+    tapped = jobs.observed(messages.drop("event_time"), "tap")
+    query_ = jobs.to_topic(tapped, {"path": f"{root}/out"}, f"{root}/checkpoint", kind="files")
+    query_.awaitTermination()
+    # One row per micro-batch.
+    seen = spark.createDataFrame(jobs.tapped(query_, "tap"), "rows long, newest_ms long")
+    return seen.agg(F.sum("rows").alias("messages"), F.max("newest_ms").alias("newest_ms"))
 
 
 @query(

@@ -118,3 +118,9 @@ def observed(stream: DataFrame, name: str) -> DataFrame:
     return stream.observe(
         name, F.count(F.lit(1)).alias("rows"), F.max("timestamp_ms").alias("newest_ms")
     )
+
+
+def tapped(query: StreamingQuery, name: str) -> list[tuple]:
+    """What the tap ``name`` saw in each micro-batch with rows, oldest first."""
+    seen = [p["observedMetrics"].get(name) for p in query.recentProgress]
+    return [(x["rows"], x["newest_ms"]) for x in seen if x is not None and x["rows"]]
