@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from jobs import common
-from loadcast.session import build_session, stream_session
-from loadcast.sources import topics
-from loadcast.streaming import jobs
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from loadcast import cli as common  # noqa: E402
+from loadcast.session import stream_session  # noqa: E402
+from loadcast.sources import topics  # noqa: E402
+from loadcast.streaming import jobs  # noqa: E402
 
 
 def main() -> None:
@@ -14,7 +19,7 @@ def main() -> None:
     common.add_topic(p, "source")
     common.add_topic(p, "target")
     args = p.parse_args()
-    spark = stream_session(build_session("build-features"), args.state_partitions)
+    spark = stream_session(common.session("build-features"), args.state_partitions)
     kind = common.topic_kind(args)
     messages = topics.read_topic(spark, common.source_options(args, args.source), kind)
     stream = jobs.observed(jobs.feature_stream(messages), "features")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import sys
+from pathlib import Path
 
-from jobs import common
-from loadcast.operators import profiles, quality, ranges, reshape
-from loadcast.schemas import DEMAND_PAYLOAD
-from loadcast.session import build_session, materialise, stream_session
-from loadcast.sources import payloads, topics
-from loadcast.streaming import jobs
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from loadcast import cli as common  # noqa: E402
+from loadcast.operators import profiles, quality, ranges, reshape  # noqa: E402
+from loadcast.schemas import DEMAND_PAYLOAD  # noqa: E402
+from loadcast.session import materialise, stream_session  # noqa: E402
+from loadcast.sources import payloads, topics  # noqa: E402
+from loadcast.streaming import jobs  # noqa: E402
 
 
 def main() -> None:
@@ -21,28 +26,32 @@ def main() -> None:
     common.add_topic(p, "topic")
     args = p.parse_args()
     wanted = common.regions(args)
-    spark = stream_session(build_session("ingest-demand"), args.state_partitions)
+    spark = stream_session(common.session("ingest-demand"), args.state_partitions)
     out, kind = common.sink_options(args, args.topic), common.topic_kind(args)
 
     if args.mode == "live":
-        stream = spark.readStream.schema(DEMAND_PAYLOAD).json(args.payloads)
+        reader = spark.readStream.schema(DEMAND_PAYLOAD).options(**topics.BATCH_LIMITS["files"])
+        stream = reader.json(args.payloads)
         readings = jobs.live_readings(stream).filter(F.col("region").isin(wanted))
         jobs.to_topic(readings, out, args.checkpoint, kind, live=True).awaitTermination()
         return
 
     window = ranges.shifted_range(args.as_of_ms, args.last_n_days)
-    raw = payloads.read_demand_payloads(spark, args.payloads)
-    # Files have no arrival number; of two values for one hour and type the larger file wins.
-    typed = reshape.typed_records(raw.withColumn("seq", F.input_file_name()), "seq")
-    typed = typed.filter(F.col("region").isin(wanted) & window.contains("timestamp_ms"))
-    merged = reshape.merge_metrics(reshape.known_types(typed, strict=True), "seq")
+    landed = spark.read.schema(DEMAND_PAYLOAD).json(args.payloads)
+    # Of two values for one hour and type the later one wins: file time, file, place in the file.
+    raw = payloads.explode_in_order(landed)
+    typed = reshape.typed_records(raw, "seq").withColumn(
+        "page", F.substring_index("seq", "|", 2)
+    )
+    typed = typed.filter(F.col("region").isin(wanted))
+    unreadable = F.count_if(F.col("timestamp_ms").isNull()).alias("unreadable_periods")
+    typed.groupBy("region").agg(F.count(F.lit(1)).alias("raw_rows"), unreadable).show(len(wanted))
+    typed = reshape.known_types(typed.filter(window.contains("timestamp_ms")), strict=True)
     if args.page_rows:
-        counted = typed.groupBy("region", "timestamp_ms").agg(F.count(F.lit(1)).alias("_raw"))
-        sized = materialise(merged.join(counted, ["region", "timestamp_ms"]), "page")
-        cut = quality.page_cut(sized, "region", "timestamp_ms", args.page_rows, F.sum("_raw"))
-        cut.show(len(wanted))
-        kept = sized.join(cut, "region").filter("timestamp_ms <= cut_ms")
-        merged = kept.select(merged.columns)
+        typed = quality.trim_pages(
+            materialise(typed, "pages"), "region", "page", "timestamp_ms", args.page_rows
+        )
+    merged = reshape.merge_metrics(typed, "seq")
     merged = materialise(merged, "merged")
     topics.write_topic(merged, out, kind)
     profiles.counts_rollup(merged).show(len(wanted) + 1)

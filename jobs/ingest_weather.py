@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import sys
+from pathlib import Path
 
-from jobs import common
-from loadcast.operators import profiles, ranges, weather
-from loadcast.session import build_session, materialise
-from loadcast.sources import payloads, topics
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from loadcast import cli as common  # noqa: E402
+from loadcast.operators import profiles, ranges, weather  # noqa: E402
+from loadcast.session import materialise  # noqa: E402
+from loadcast.sources import payloads, topics  # noqa: E402
 
 
 def main() -> None:
@@ -17,7 +22,7 @@ def main() -> None:
     common.add_topic(p, "topic")
     args = p.parse_args()
     wanted = common.regions(args)
-    spark = build_session("ingest-weather")
+    spark = common.session("ingest-weather")
     window = ranges.shifted_range(args.as_of_ms, args.last_n_days)
     cities = payloads.read_weather_payloads(spark, args.payloads)
     cities = cities.filter(F.col("region").isin(wanted))

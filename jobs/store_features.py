@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from jobs import common
-from loadcast.schemas import (
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from loadcast import cli as common  # noqa: E402
+from loadcast.schemas import (  # noqa: E402
     CALENDAR_COLUMNS,
     DEMAND_RECORD,
     WEATHER_RECORD,
     with_rolling,
 )
-from loadcast.session import build_session
-from loadcast.sources import topics
-from loadcast.store.tables import FeatureTable
-from loadcast.streaming import jobs
+from loadcast.sources import topics  # noqa: E402
+from loadcast.store.tables import FeatureTable  # noqa: E402
+from loadcast.streaming import jobs  # noqa: E402
 
 
 def feature_schema():
@@ -20,7 +24,7 @@ def feature_schema():
     kinds = {"hour_category": "string", "hour_category_num": "integer", "is_holiday": "integer"}
     for name in CALENDAR_COLUMNS:
         schema = schema.add(name, kinds.get(name, "double"))
-    return schema
+    return schema.add("revision", "long")
 
 
 def main() -> None:
@@ -33,9 +37,11 @@ def main() -> None:
     p.add_argument("--checkpoint", required=True)
     common.add_topic(p, "source")
     args = p.parse_args()
-    spark = build_session("store-features")
+    spark = common.session("store-features")
     kind = common.topic_kind(args)
-    table = FeatureTable.get_or_create(spark, args.store, args.table, args.version, args.primary_key)
+    table = FeatureTable.get_or_create(
+        spark, args.store, common.table_name(args, args.table), args.version, args.primary_key
+    )
     schema = feature_schema() if args.record == "demand" else WEATHER_RECORD
     messages = topics.read_topic(spark, common.source_options(args, args.source), kind)
     rows = topics.decode(messages, schema, "arrival").drop("event_time")

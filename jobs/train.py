@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from jobs import common
-from loadcast.functions.time import DAY_MS
-from loadcast.models import boosted
-from loadcast.operators.ranges import TimeRange
-from loadcast.operators.series import Series
-from loadcast.plans import features, training
-from loadcast.session import build_session, materialise
-from loadcast.sources.exports import write_csv
-from loadcast.store.tables import FeatureStore, Ledger, ViewMeta
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from loadcast import cli as common  # noqa: E402
+from loadcast.functions.time import DAY_MS  # noqa: E402
+from loadcast.models import boosted  # noqa: E402
+from loadcast.operators import joins  # noqa: E402
+from loadcast.operators.ranges import TimeRange  # noqa: E402
+from loadcast.operators.series import Series  # noqa: E402
+from loadcast.plans import features, scoring, training  # noqa: E402
+from loadcast.session import materialise  # noqa: E402
+from loadcast.sources.exports import write_csv  # noqa: E402
+from loadcast.store.tables import FeatureStore, Ledger, ViewMeta  # noqa: E402
 
 
 def main() -> None:
@@ -26,12 +34,14 @@ def main() -> None:
     p.add_argument("--n-splits", type=int, default=4)
     p.add_argument("--status", choices=["Development", "Staging", "Production"], default="Development")
     p.add_argument("--version", default="1.0.0")
-    p.add_argument("--debug-path", help="also export the training rows as CSV")
+    p.add_argument("--debug-path", help="also export training rows and test predictions as CSV")
     args = p.parse_args()
     wanted = common.regions(args)
-    spark = build_session("train")
+    spark = common.session("train")
     store, ledger, series = FeatureStore(spark, args.store), Ledger(spark, args.store), Series()
-    meta = ViewMeta(args.view, args.view_version, args.demand, 1, args.weather, 1)
+    demand, weather = (common.table_name(args, n) for n in (args.demand, args.weather))
+    view_name = common.table_name(args, args.view)
+    meta = ViewMeta(view_name, args.view_version, demand, 1, weather, 1)
     view = store.read_view(
         store.get_or_create_view(meta),
         TimeRange(args.as_of_ms - args.days_back * DAY_MS, args.as_of_ms),
@@ -40,10 +50,18 @@ def main() -> None:
     params = boosted.Params(maxIter=args.max_iter)
     options = training.TrainingOptions(args.search_trials, args.n_splits, args.status, params)
     ledger.log_parameters(args.run_id, vars(args))
-    training.describe(split).show(2 * len(wanted), truncate=False)
+    training.log_shapes(split, ledger, args.run_id)
+    failures: dict[str, str] = {}
+    errors, models = training.train_regions(split, wanted, series, options, failures)
     if args.debug_path:
-        write_csv(split, args.debug_path)
-    errors, models = training.train_regions(split, wanted, series, options)
+        write_csv(split, f"{args.debug_path}/rows")
+        if models:
+            rows = split.filter(F.col("split") == "test")
+            actual = view.select("region", "timestamp_ms", "demand", "forecast")
+            predicted = scoring.score(rows.drop("target", "split"), models)
+            write_csv(joins.debug_predictions(actual, predicted), f"{args.debug_path}/predictions")
+    for region, message in failures.items():
+        print(f"{region}: not fitted: {message}")
     print(training.register_better(errors, models, ledger, args.run_id, args.version, options))
 
 

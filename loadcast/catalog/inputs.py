@@ -59,6 +59,14 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hourly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly rows as a table, for operators that read their input twice.
+
+    They are small next to the events, which are then read only once.
+    """
+    return materialise(hourly(spark, sf_dir), "hourly")
+
+
 HOURLY = """hourly AS (
   SELECT event_type AS region, (epoch_ms(ts) // 3600000) * 3600000 AS timestamp_ms,
          CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS demand

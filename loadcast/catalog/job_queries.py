@@ -12,10 +12,12 @@ from loadcast.catalog.scalar_queries import (
     HOLIDAYS,
     category_number_sql,
 )
-from loadcast.catalog.series_queries import SPARSE_SQL, _sparse_weather
-from loadcast.functions.time import DAY_MS, HOUR_MS
+from loadcast.catalog.series_queries import COMPLETE_SQL, SPARSE_SQL, _sparse_weather
+from loadcast.dims import literal_lookup
+from loadcast.functions.time import DAY_MS, HOUR_MS, utc_hour
+from loadcast.models import boosted
 from loadcast.models.boosted import Params
-from loadcast.operators import quality, reshape
+from loadcast.operators import quality, registry, reshape
 from loadcast.operators.ranges import TimeRange
 from loadcast.plans import features, scoring, training
 from loadcast.schemas import (
@@ -23,10 +25,11 @@ from loadcast.schemas import (
     DEMAND_PAYLOAD,
     DEMAND_RECORD,
     METRICS,
+    REGISTRY_RECORD,
     ROLLING_COLUMNS,
 )
 from loadcast.session import materialise, scratch_path, stream_session
-from loadcast.sources import exports, topics
+from loadcast.sources import exports, payloads, topics
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
 from loadcast.streaming import jobs
 
@@ -232,35 +235,156 @@ def csv_export(spark, sf_dir):
     return spark.read.schema(wide.schema).option("header", True).csv(path)
 
 
-SMALL_MODEL = training.TrainingOptions(params=Params(maxIter=5, maxDepth=3), status="Production")
+# A target that one split on one feature explains: a tree of depth 1 reproduces it exactly.
+STUMP = Params(maxIter=1, maxDepth=1)
+LEVEL = Params(maxIter=1, maxDepth=0)
+SMALL_MODEL = training.TrainingOptions(params=STUMP, status="Production")
+STEP_SQL = "CASE WHEN (timestamp_ms // 3600000) % 24 >= 12 THEN 1500 ELSE 500 END"
+FOLDS = 2
 
 
 def _view(spark, sf_dir):
     """Demand features, written as a table would be, with the weather known at their time."""
     rows = materialise(features.demand_features(i.hourly(spark, sf_dir), S), "features")
     right = i.regional_weather(spark, sf_dir).select("region", "timestamp_ms", "temperature")
-    return features.feature_view(rows, right, S)
+    return materialise(features.feature_view(rows, right, S), "view")
 
 
-def _trained(spark, sf_dir):
-    split = features.training_split(_view(spark, sf_dir), S)
-    return training.train_regions(split, sorted(i.EVENT_ZONES), S, SMALL_MODEL)
+def _with_step(rows):
+    return rows.withColumn("afternoon", (utc_hour("timestamp_ms") >= 12).cast("int"))
 
 
-@query("model_training")
+def _split(view):
+    split = _with_step(features.training_split(view, S))
+    return split.withColumn("target", F.col("afternoon") * 1000 + 500)
+
+
+@query(
+    "model_training",
+    "WITH " + COMPLETE_SQL + f""", parts AS (
+      SELECT *, {STEP_SQL} AS step, CASE WHEN rn <= floor(CAST(n AS DOUBLE)
+               * (CAST(1 AS DOUBLE) - CAST(0.2 AS DOUBLE))) THEN 'train' ELSE 'test' END AS split
+      FROM complete)
+    SELECT region, split, 'baseline' AS model, {r("avg(abs(step - demand))", "mae")}
+    FROM parts GROUP BY region, split
+    UNION ALL SELECT DISTINCT region, split, 'model', 0.0 FROM parts""",
+)
 def model_training(spark, sf_dir):
-    """Errors of one boosted model per region beside the baseline, on train and test rows."""
-    errors, _ = _trained(spark, sf_dir)
+    """Errors of one model per region beside the baseline; the model has learnt the step."""
+    errors, _ = training.train_regions(_split(_view(spark, sf_dir)), sorted(i.EVENT_ZONES), S, SMALL_MODEL)
     return errors
 
 
-@query("model_scoring")
+@query(
+    "model_scoring",
+    "WITH " + i.HOURLY + f"""
+    SELECT region, timestamp_ms, CAST({STEP_SQL} AS DOUBLE) AS prediction FROM hourly""",
+)
 def model_scoring(spark, sf_dir):
     """Train, register what beats the baseline, load it again and score every hour."""
-    errors, models = _trained(spark, sf_dir)
+    view = _view(spark, sf_dir)
+    errors, models = training.train_regions(_split(view), sorted(i.EVENT_ZONES), S, SMALL_MODEL)
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
     training.register_better(errors, models, ledger, "run", "1.0.0", SMALL_MODEL)
     loaded = scoring.load_models(ledger, sorted(i.EVENT_ZONES), "Production")
-    rows = materialise(reshape.drop_for_training(_view(spark, sf_dir)), "view")
-    forecast = i.merged(spark, sf_dir).select("region", "timestamp_ms", "forecast")
-    return scoring.prediction_table(rows, forecast, loaded)
+    return scoring.score(_with_step(reshape.drop_for_training(view)), loaded)
+
+
+@query(
+    "model_search",
+    "WITH " + COMPLETE_SQL + f""", parts AS (
+      SELECT region, timestamp_ms, {STEP_SQL} AS step, rn - 1 AS rn,
+             CAST(floor(CAST(n AS DOUBLE) * (CAST(1 AS DOUBLE) - CAST(0.2 AS DOUBLE))) AS BIGINT) AS n
+      FROM complete), folds AS (
+      SELECT *, n // {FOLDS + 1} AS part FROM parts, (VALUES (0), (1)) f(fold) WHERE rn < n),
+    roles AS (
+      SELECT *, rn < n - ({FOLDS} - fold) * part AS is_train FROM folds
+      WHERE rn < n - ({FOLDS} - 1 - fold) * part), levels AS (
+      SELECT region, fold, avg(step) AS level FROM roles WHERE is_train GROUP BY ALL)
+    SELECT r.region, r.fold, 'level' AS candidate, {r("avg(abs(step - level))", "mae")}, false AS chosen
+    FROM roles r JOIN levels l ON r.region = l.region AND r.fold = l.fold
+    WHERE NOT is_train GROUP BY r.region, r.fold
+    UNION ALL SELECT DISTINCT region, fold, 'stump', 0.0, true FROM roles WHERE NOT is_train""",
+)
+def model_search(spark, sf_dir):
+    """Fold errors of two candidates per region; the one that can learn the step is chosen."""
+    split = training.by_region(_split(_view(spark, sf_dir)).filter("split = 'train'"))
+    names = {STUMP.params_id: "stump", LEVEL.params_id: "level"}
+    parts = []
+    for region in sorted(i.EVENT_ZONES):
+        train = split.filter(F.col("region") == region)
+        best, scores = boosted.search(train, [LEVEL, STUMP], S, FOLDS)
+        chosen = (F.col("params_id") == best.params_id).alias("chosen")
+        label = literal_lookup(names, F.col("params_id")).alias("candidate")
+        parts.append(scores.select("region", "fold", label, "mae", chosen))
+    return reshape.union_all(parts)
+
+
+@query(
+    "run_log",
+    "WITH " + COMPLETE_SQL + f""", parts AS (
+      SELECT *, {STEP_SQL} AS step, CASE WHEN rn <= floor(CAST(n AS DOUBLE)
+               * (CAST(1 AS DOUBLE) - CAST(0.2 AS DOUBLE))) THEN 'train' ELSE 'test' END AS split
+      FROM complete), shapes AS (
+      SELECT region, split, count(*) AS n_rows, min(timestamp_ms) AS first_ms,
+             max(timestamp_ms) AS last_ms FROM parts GROUP BY ALL)
+    SELECT 'run' AS run_id, region, name, value FROM (
+      SELECT region, 'rows_' || split AS name, CAST(n_rows AS VARCHAR) AS value FROM shapes
+      UNION ALL SELECT region, 'first_ms_' || split, CAST(first_ms AS VARCHAR) FROM shapes
+      UNION ALL SELECT region, 'last_ms_' || split, CAST(last_ms AS VARCHAR) FROM shapes
+      UNION ALL SELECT NULL, 'n_splits', '4')""",
+)
+def run_log(spark, sf_dir):
+    """Split shapes, time extents and parameters of a run, as the ledger gives them back."""
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    ledger.log_parameters("run", {"n_splits": 4})
+    training.log_shapes(_split(_view(spark, sf_dir)), ledger, "run")
+    return ledger.runs()
+
+
+@query(
+    "state_shapes",
+    """SELECT n_name AS state, r_name AS region, 'Polygon' AS geometry_type,
+              '[[' || n_nationkey || ',' || n_regionkey || ']]' AS coordinates
+       FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <> 0""",
+)
+def state_shapes(spark, sf_dir):
+    """Shapes of the states of known regions from a GeoJSON document of all nations."""
+    root = scratch_path(spark, "shapes")
+    nation = i.table(spark, sf_dir, "nation")
+    text = "[[%s,%s]]"
+    place = F.format_string(text, F.col("n_nationkey").cast("string"), F.col("n_regionkey").cast("string"))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.lit("Polygon").alias("type"), place.alias("coordinates")).alias("geometry"),
+        F.struct(F.col("n_name").alias("NAME")).alias("properties"),
+    )
+    # One document, as such files are: nation has 25 rows at any scale.
+    nation.agg(F.collect_list(feature).alias("features")).write.json(root)
+    region = i.table(spark, sf_dir, "region")
+    states = nation.filter("n_nationkey % 5 <> 0").join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    states = states.select(F.col("n_name").alias("state"), F.col("r_name").alias("region"))
+    shapes = payloads.read_state_shapes(spark, root, states)
+    return shapes.select(
+        F.col("NAME").alias("state"),
+        "region",
+        F.col("geometry.type").alias("geometry_type"),
+        F.col("geometry.coordinates").alias("coordinates"),
+    )
+
+
+@query(
+    "registry_scan",
+    "WITH " + i.REGISTRY + "SELECT name, region, is_tuned, version, status FROM versions",
+)
+def registry_scan(spark, sf_dir):
+    """Nested registry documents (all versions of a model in one) to one row per version."""
+    rows = i.registry_versions(spark, sf_dir)
+    entry = F.struct("version", "status", F.lit("run").alias("experiment_key"))
+    nested = rows.groupBy("name", "region", "is_tuned").agg(F.collect_list(entry).alias("versions"))
+    path = scratch_path(spark, "registry")
+    nested.write.json(path)
+    found = registry.versions_long(spark.read.schema(REGISTRY_RECORD).json(path))
+    return found.drop("experiment_key")

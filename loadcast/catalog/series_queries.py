@@ -150,7 +150,7 @@ SPLIT_SQL = i.HOURLY + """, split AS (
 
 @query("chrono_split", "WITH " + SPLIT_SQL + "SELECT * FROM split")
 def chrono_split(spark, sf_dir):
-    return splits.chrono_split(i.hourly(spark, sf_dir), S)
+    return splits.chrono_split(i.hourly_table(spark, sf_dir), S)
 
 
 @query(
@@ -158,7 +158,7 @@ def chrono_split(spark, sf_dir):
     "WITH " + SPLIT_SQL + "SELECT region, split, count(*) AS n_rows FROM split GROUP BY ALL",
 )
 def split_counts(spark, sf_dir):
-    return splits.split_counts(splits.chrono_split(i.hourly(spark, sf_dir), S))
+    return splits.split_counts(splits.chrono_split(i.hourly_table(spark, sf_dir), S))
 
 
 FOLD_SQL = i.HOURLY + """, folds AS (
@@ -173,7 +173,7 @@ FOLD_SQL = i.HOURLY + """, folds AS (
 
 @query("time_series_folds", "WITH " + FOLD_SQL + "SELECT * FROM folds")
 def time_series_folds(spark, sf_dir):
-    return splits.time_series_folds(i.hourly(spark, sf_dir), S, 4)
+    return splits.time_series_folds(i.hourly_table(spark, sf_dir), S, 4)
 
 
 @query(
@@ -188,7 +188,7 @@ def time_series_folds(spark, sf_dir):
 )
 def fold_scores(spark, sf_dir):
     """Cross-validation score of the training mean as the predictor."""
-    folds = splits.time_series_folds(i.hourly(spark, sf_dir), S, 4)
+    folds = splits.time_series_folds(i.hourly_table(spark, sf_dir), S, 4)
     level = folds.filter("role = 'train'").groupBy("region", "fold").agg(F.avg("demand").alias("level"))
     held_out = folds.filter("role = 'validate'").join(level, ["region", "fold"])
     mae = evaluate.mae_by(held_out, ["region", "fold"], "demand", {"mean": "level"})
@@ -229,7 +229,7 @@ def semver_sort(spark, sf_dir):
     """Semantic order of versions: a range-partitioned sort, whatever a model's share."""
     versions = i.registry_versions(spark, sf_dir).withColumn("key", version_key(F.col("version")))
     release = [
-        F.element_at("key.release", n).alias(part)
+        F.coalesce(F.try_element_at("key.release", F.lit(n)), F.lit(0)).alias(part)
         for n, part in enumerate(("major", "minor", "patch"), 1)
     ]
     ordered = versions.orderBy("region", "name", F.desc("key"))
@@ -283,13 +283,13 @@ WEATHER_SELECT = ", ".join(r(f"w.{m}", f"weather_{m}") for m in WEATHER_MEASURES
 
 @query(
     "left_join_weather",
-    "WITH " + SPARSE_SQL + f"""
+    "WITH " + i.HOURLY + ", " + i.WEATHER + f"""
     SELECT h.region, h.timestamp_ms, h.demand, {WEATHER_SELECT}
-    FROM hourly h LEFT JOIN sparse w
+    FROM hourly h LEFT JOIN weather w
       ON h.region = w.region AND h.timestamp_ms = w.timestamp_ms""",
 )
 def left_join_weather(spark, sf_dir):
-    return joins.join_weather(i.hourly(spark, sf_dir), _sparse_weather(spark, sf_dir))
+    return joins.join_weather(i.hourly(spark, sf_dir), i.regional_weather(spark, sf_dir))
 
 
 @query(
@@ -333,7 +333,13 @@ def prediction_assembly(spark, sf_dir):
     GROUP BY m.region""",
 )
 def debug_join_future(spark, sf_dir):
-    return joins.debug_predictions(i.triples(spark, sf_dir), i.scored(spark, sf_dir))
+    # One window pass gives the actual, the forecast and the prediction of every hour.
+    rows = rolling.add_rolling(i.hourly(spark, sf_dir), S)
+    value = F.coalesce(F.col("mean_3"), F.col("demand").cast("double"))
+    columns = {"forecast": F.col("lag_24h"), "prediction": value}
+    names = ["region", "timestamp_ms", "demand", "forecast", "prediction"]
+    both = materialise(rows.withColumns(columns).select(*names), "scored")
+    return joins.debug_predictions(both.drop("prediction"), both.drop("demand", "forecast"))
 
 
 # --- aggregates ------------------------------------------------------------------------
@@ -446,7 +452,8 @@ MAE_SQL = i.ROLLED + """, parts AS (
 
 def _mae(spark, sf_dir):
     """Errors of a 24-hour mean against the persistence baseline, on test and train rows."""
-    rows = quality.drop_incomplete(i.rolled(spark, sf_dir, target=True))
+    # Numbering reads its input twice (chunk index, rows); the feature windows run once.
+    rows = materialise(quality.drop_incomplete(i.rolled(spark, sf_dir, target=True)), "rows")
     split = splits.chrono_split(rows, S)
     return evaluate.mae_by(
         evaluate.persistence(split),
@@ -536,26 +543,28 @@ def metrics_transposed(spark, sf_dir):
 )
 def standardize(spark, sf_dir):
     rows = i.rolled(spark, sf_dir).select("region", "timestamp_ms", "demand", "lag_1h")
+    # Moments first, then the rows: the window pass runs once.
+    rows = materialise(rows, "lags")
     return evaluate.standardize(rows, "region", ["demand", "lag_1h"])
 
 
-MI_FEATURES = ["mean_3", "lag_1h", "lag_24h"]
+MI_BINS = 16
 
 
-def _mi_sql(bins: int = 16) -> str:
+def _mi_sql() -> str:
     long = " UNION ALL ".join(
-        f"SELECT region, '{f}' AS feature, {f} AS x, CAST(demand AS DOUBLE) AS y FROM rolled "
+        f"SELECT region, '{f}' AS feature, {f} AS x, CAST(demand AS DOUBLE) AS y FROM dated "
         f"WHERE {f} IS NOT NULL AND timestamp_ms < newest"
-        for f in MI_FEATURES
+        for f in ROLLING_COLUMNS
     )
+    at = ", ".join(f"{k / MI_BINS}" for k in range(1, MI_BINS))
     return f"""
     , dated AS (SELECT *, max(timestamp_ms) OVER (PARTITION BY region) AS newest FROM rolled),
-    long AS ({long.replace("FROM rolled", "FROM dated")}),
-    bounds AS (SELECT region, feature, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1
+    long AS ({long}),
+    bounds AS (SELECT region, feature, quantile_disc(x, [{at}]) AS xs, quantile_disc(y, [{at}]) AS ys
                FROM long GROUP BY ALL),
-    binned AS (SELECT l.region, l.feature,
-                 least(floor((x - x0) / (x1 - x0) * {bins}), {bins - 1}) AS bx,
-                 least(floor((y - y0) / (y1 - y0) * {bins}), {bins - 1}) AS by_
+    binned AS (SELECT l.region, l.feature, len(list_filter(xs, lambda e: e < x)) AS bx,
+                 len(list_filter(ys, lambda e: e < y)) AS by_
                FROM long l JOIN bounds b ON l.region = b.region AND l.feature = b.feature),
     joint AS (SELECT region, feature, bx, by_, CAST(count(*) AS DOUBLE) AS n
               FROM binned GROUP BY ALL),
@@ -568,12 +577,13 @@ def _mi_sql(bins: int = 16) -> str:
 
 @query("mutual_information", "WITH " + i.ROLLED + _mi_sql())
 def mutual_information(spark, sf_dir):
-    """Feature ranking; the latest row of a region is still open and left out."""
-    rows = i.rolled(spark, sf_dir).select("region", "timestamp_ms", "demand", *MI_FEATURES)
+    """Ranking of all rolling and lag features; a region's latest row is open and left out."""
+    names = ["region", "timestamp_ms", "demand", *ROLLING_COLUMNS]
+    rows = i.rolled(spark, sf_dir).select(*names)
     newest = rows.groupBy("region").agg(F.max("timestamp_ms").alias("newest"))
     # The ranking reads its input twice (bin bounds, then counts); the windows run once.
     closed = materialise(rows.join(newest, "region").filter("timestamp_ms < newest"), "closed")
-    scores = evaluate.mutual_information(closed, "region", MI_FEATURES, "demand")
+    scores = evaluate.mutual_information(closed, "region", list(ROLLING_COLUMNS), "demand", MI_BINS)
     return scores.orderBy("region", F.desc("importance"))
 
 
@@ -602,16 +612,19 @@ def feature_assembly(spark, sf_dir):
     return features.assemble_features(hourly, regional, S, target=True)
 
 
-@query(
-    "training_set",
-    "WITH " + i.ROLLED + ", " + i.WEATHER + """, viewed AS (
+COMPLETE_SQL = i.ROLLED + ", " + i.WEATHER + """, viewed AS (
       SELECT r.*, w.temperature AS weather_temperature
-      FROM rolled r ASOF LEFT JOIN (SELECT * FROM weather WHERE temperature > 4000) w
+      FROM rolled r ASOF LEFT JOIN weather w
         ON r.region = w.region AND r.timestamp_ms >= w.timestamp_ms), complete AS (
       SELECT *, row_number() OVER (PARTITION BY region ORDER BY timestamp_ms) AS rn,
              count(*) OVER (PARTITION BY region) AS n
       FROM viewed WHERE target IS NOT NULL AND lag_168h IS NOT NULL
-                    AND weather_temperature IS NOT NULL)
+                    AND weather_temperature IS NOT NULL)"""
+
+
+@query(
+    "training_set",
+    "WITH " + COMPLETE_SQL + """
     SELECT region, timestamp_ms, demand, """ + rs(*ROLLING_COLUMNS, "weather_temperature") + """,
            target, CASE WHEN rn <= floor(CAST(n AS DOUBLE)
                                          * (CAST(1 AS DOUBLE) - CAST(0.2 AS DOUBLE)))
@@ -620,7 +633,7 @@ def feature_assembly(spark, sf_dir):
 )
 def training_set(spark, sf_dir):
     """Point-in-time view, target, complete rows and chronological split."""
-    right = _sparse_weather(spark, sf_dir).select(
+    right = i.regional_weather(spark, sf_dir).select(
         "region", "timestamp_ms", "human_read_period", "temperature"
     )
     view = features.feature_view(i.rolled(spark, sf_dir), right, S)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from loadcast import dims
 from loadcast.catalog import inputs as i
 from loadcast.catalog.registry import query, r, rs
-from loadcast.functions.time import HOUR_MS, event_time
+from loadcast.functions.time import DAY_MS, HOUR_MS, event_time
 from loadcast.operators import joins, quality, ranges, reshape
 from loadcast.schemas import WEATHER_FIELDS, WEATHER_MEASURES
+from loadcast.session import materialise
 from loadcast.sources import payloads, topics
 
 AS_OF_MS = 1_706_454_000_000  # 2024-01-28T15:00 UTC, inside the event range
@@ -343,6 +344,20 @@ def complete_day_trim(spark, sf_dir):
     return quality.complete_day_trim(i.merged_table(spark, sf_dir), "region", "timestamp_ms", 60)
 
 
+@query("landed_pages", "WITH " + i.MERGED + "SELECT * FROM merged")
+def landed_pages(spark, sf_dir):
+    """Overlapping pages of three days and half a day more: trimmed, they are every hour once."""
+    merged = i.merged(spark, sf_dir)
+    day = F.floor(F.col("timestamp_ms") / DAY_MS)
+    half = (F.floor(F.col("timestamp_ms") / HOUR_MS) % 24 < 12) & (day % 3 == 0)
+    page = F.floor(day / 3)
+    pages = F.when(half, F.array(page - 1, page)).otherwise(F.array(page))
+    landed = materialise(merged.withColumn("page", F.explode(pages)), "pages")
+    kept = quality.trim_pages(landed, "region", "page", "timestamp_ms", 1)
+    # A page that begins with the overlap has no hour before it; repeats agree.
+    return kept.drop("page").distinct()
+
+
 @query(
     "page_boundaries",
     "WITH " + i.MERGED + """

@@ -1,12 +1,28 @@
-"""Arguments shared by the spark-submit jobs."""
+"""Arguments and session of the spark-submit jobs."""
 
 from __future__ import annotations
 
 import argparse
+import shutil
+import tempfile
 import time
+from pathlib import Path
+
+from pyspark.sql import SparkSession
 
 from loadcast import dims
 from loadcast.operators.quality import require_valid
+from loadcast.session import build_session
+
+
+def session(app_name: str) -> SparkSession:
+    """Session whose Python workers find this package, wherever the job was started."""
+    spark = build_session(app_name)
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="loadcast-package-")
+    archive = shutil.make_archive(f"{folder}/loadcast", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    return spark
 
 
 def parser(description: str) -> argparse.ArgumentParser:
@@ -29,6 +45,11 @@ def add_topic(p: argparse.ArgumentParser, name: str) -> None:
         p.add_argument("--brokers", help="kafka brokers; without them topics are folders")
 
 
+def table_name(args, name: str) -> str:
+    """Historical runs keep to tables of their own."""
+    return f"{name}_{args.run_id}" if args.mode == "historical" else name
+
+
 def topic_kind(args) -> str:
     return "kafka" if args.brokers else "files"
 

@@ -27,16 +27,17 @@ def message(columns: list[Column]) -> Column:
 def version_key(version: Column) -> Column:
     """Sortable key of ``1.2.3`` or ``1.2.3rc1``: release numbers, final after pre-release.
 
-    Release parts compare as numbers; a short release is padded so ``1.2`` equals ``1.2.0``.
+    Release parts compare as numbers, however many there are; trailing zeros do not count, so
+    ``1.2`` equals ``1.2.0``.
     """
     release = F.regexp_extract(version, r"^v?(\d+(?:\.\d+)*)", 1)
     suffix = F.regexp_replace(version, r"^v?\d+(?:\.\d+)*[-.]?", "")
-    parts = F.transform(F.split(release, r"\."), lambda x: x.try_cast("int"))
-    padded = F.slice(F.concat(parts, F.array_repeat(F.lit(0), 6)), 1, 6)
+    significant = F.regexp_replace(release, r"(?:\.0+)+$", "")
+    parts = F.transform(F.split(significant, r"\."), lambda x: x.try_cast("int"))
     stage = F.regexp_extract(suffix, r"^([a-z]+)", 1)
     number = F.coalesce(F.regexp_extract(suffix, r"(\d+)$", 1).try_cast("int"), F.lit(0))
     return F.struct(
-        padded.alias("release"),
+        parts.alias("release"),
         F.when(suffix == "", 1).otherwise(0).alias("is_final"),
         stage.alias("stage"),
         number.alias("number"),

@@ -24,7 +24,7 @@ class Params:
     """Learner settings; the names are those of the MLlib regressor."""
 
     maxIter: int = 100
-    maxDepth: int = 5
+    maxDepth: int = 6
     stepSize: float = 0.3
     subsamplingRate: float = 1.0
     featureSubsetStrategy: str = "all"

@@ -78,15 +78,18 @@ def trim_after_last_actual(
     )
 
 
-def page_cut(df: DataFrame, key: str, ts: str, page_rows: int, size: Column | None = None):
+def page_cut(
+    df: DataFrame, key: str | list[str], ts: str, page_rows: int, size: Column | None = None
+):
     """Per key: whether the page is full, where to cut it, and where the next page starts.
 
     A full page ends at its last hour 23 and the next one starts at the following midnight;
     without an hour 23 it ends where it ends and the next one starts an hour later.  ``size``
     overrides the fullness count with an aggregate over the raw rows of the page.
     """
+    keys = [key] if isinstance(key, str) else key
     counted = F.count(F.lit(1)) if size is None else size
-    stats = df.groupBy(key).agg(
+    stats = df.groupBy(*keys).agg(
         counted.alias("page_size"),
         F.max(ts).alias("_end"),
         F.max(F.when(utc_hour(ts) == 23, F.col(ts))).alias("_day_end"),
@@ -94,7 +97,7 @@ def page_cut(df: DataFrame, key: str, ts: str, page_rows: int, size: Column | No
     full = F.col("page_size") >= page_rows
     cut = F.when(full, F.coalesce("_day_end", "_end")).otherwise(F.col("_end"))
     return stats.select(
-        key,
+        *keys,
         "page_size",
         cut.alias("cut_ms"),
         F.when(full, cut + HOUR_MS).alias("next_start_ms"),
@@ -108,6 +111,26 @@ def complete_day_trim(df: DataFrame, key: str, ts: str, page_rows: int) -> DataF
     )
 
 
+def trim_pages(
+    df: DataFrame, key: str, page: str, ts: str, page_rows: int, size: str | None = None
+) -> DataFrame:
+    """Landed pages, each cut to complete days where a later page brings the rest again.
+
+    Pages of a key follow each other in order of ``page``.  What a full page has behind its cut
+    goes only from the first hour of a later page on, so no hour is lost, whatever was landed; the
+    last page of a key stays whole.  ``size`` names a column with the raw rows behind each row.
+    """
+    counted = None if size is None else F.sum(size)
+    cuts = page_cut(df, [key, page], ts, page_rows, counted).select(key, page, "cut_ms")
+    starts = df.groupBy(key, page).agg(F.min(ts).alias("_start"))
+    # One row per page: the window sees pages, not their rows.
+    following = Window.partitionBy(key).orderBy(page).rowsBetween(1, Window.unboundedFollowing)
+    bounds = cuts.join(starts, [key, page]).withColumn("_next", F.min("_start").over(following))
+    covered = (F.col(ts) > F.col("cut_ms")) & (F.col(ts) >= F.col("_next"))
+    kept = df.join(bounds, [key, page]).filter(~F.coalesce(covered, F.lit(False)))
+    return kept.select(*df.columns)
+
+
 def until_midnight(df: DataFrame, ts: str, end_ms: Column) -> DataFrame:
     """Rows up to and including midnight at the start of the end date."""
     return df.filter(F.col(ts) <= floor_ms(end_ms, DAY_MS))
@@ -127,8 +150,9 @@ def dedupe_latest(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
 def last_n(df: DataFrame, s: Series, n: int, ties: list[str] | None = None) -> DataFrame:
     """The latest ``n`` rows of each series.
 
-    The planner turns the rank filter into a group limit on both sides of the shuffle, so a
-    task sends at most ``n`` rows per key however long the series is.
+    Up to Spark's group-limit threshold (1,000 rows by default) the planner turns the rank filter
+    into a limit on both sides of the shuffle, and a task sends at most ``n`` rows per key; raise
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` for a larger ``n``.
     """
     order = [F.col(s.ts).desc(), *[F.col(c).desc() for c in ties or []]]
     w = Window.partitionBy(s.key).orderBy(*order)

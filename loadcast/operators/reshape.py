@@ -116,11 +116,6 @@ def drop_for_training(df: DataFrame) -> DataFrame:
     )
 
 
-def features_and_target(df: DataFrame, target: str = "target") -> tuple[list[str], str]:
-    """Feature column names and the target; the model reads both from one frame."""
-    return [c for c in df.columns if c not in ("region", target)], target
-
-
 def labelled(c: Column, labels: dict) -> Column:
     pairs = [F.lit(x) for kv in labels.items() for x in kv]
     return F.create_map(*pairs)[c]

@@ -9,23 +9,44 @@ from pyspark.sql import functions as F
 from loadcast.models import boosted
 from loadcast.operators import joins, quality, registry
 from loadcast.operators.reshape import union_all
+from loadcast.plans.training import by_region
 from loadcast.session import materialise
 from loadcast.store.tables import Ledger
 
 
-def load_models(ledger: Ledger, regions: list[str], status: str) -> dict[str, PipelineModel]:
-    """The picked model of each region; regions without one are left out."""
+def load_models(
+    ledger: Ledger, regions: list[str], status: str, errors: dict[str, str] | None = None
+) -> dict[str, PipelineModel]:
+    """The picked model of each region; regions without one are left out.
+
+    A model that cannot be read is left out as well; with ``errors`` its message goes there,
+    otherwise it is raised.
+    """
     known = ledger.models().filter(F.col("region").isin(regions))
     picked = registry.pick_models(known, status)
     paths = picked.join(known.select("name", "version", "path"), ["name", "version"])
+    models = {}
     # One row per requested region.
-    return {row["region"]: PipelineModel.load(row["path"]) for row in paths.collect()}
+    for row in paths.collect():
+        try:
+            models[row["region"]] = PipelineModel.load(row["path"])
+        except Exception as failure:
+            if errors is None:
+                raise
+            errors[row["region"]] = str(failure).splitlines()[0]
+    return models
 
 
 def score(features: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """Predictions of every region that has a model."""
+    """Predictions of every region that has a model; without models no rows.
+
+    The features are laid out by region first, so that each model reads its own rows only.
+    """
+    if not models:
+        return features.limit(0).select("region", "timestamp_ms", F.lit(0.0).alias("prediction"))
+    rows = by_region(features) if len(models) > 1 else features
     parts = [
-        boosted.predict(model, features.filter(F.col("region") == region)).select(
+        boosted.predict(model, rows.filter(F.col("region") == region)).select(
             "region", "timestamp_ms", "prediction"
         )
         for region, model in models.items()
@@ -44,12 +65,23 @@ def prediction_table(
 
 
 def region_status(
-    features: DataFrame, models: dict[str, PipelineModel], requested: DataFrame
+    features: DataFrame,
+    models: dict[str, PipelineModel],
+    requested: DataFrame,
+    errors: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One row per requested region: scored, or why not."""
+    """One row per requested region: scored, or why not (``status``, ``error``)."""
     rows = features.groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"))
     has_model = F.col("region").isin(list(models))
+    failed = F.try_element_at(
+        F.create_map(*[F.lit(x) for pair in {"": "", **(errors or {})}.items() for x in pair]),
+        F.col("region"),
+    )
     status = (
-        F.when(~has_model, "no model").when(F.col("n_rows").isNull(), "no features").otherwise("ok")
+        F.when(failed.isNotNull(), "error")
+        .when(~has_model, "no model")
+        .when(F.col("n_rows").isNull(), "no features")
+        .otherwise("ok")
     )
-    return requested.join(rows, "region", "left").withColumn("status", status)
+    joined = requested.join(rows, "region", "left")
+    return joined.withColumns({"status": status, "error": failed})

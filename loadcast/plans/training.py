@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -24,6 +25,7 @@ class TrainingOptions:
     status: str = "Development"
     params: boosted.Params = boosted.Params()
     space: dict | None = None
+    parallel: int = 4
 
 
 def by_region(split: DataFrame) -> DataFrame:
@@ -39,24 +41,46 @@ def by_region(split: DataFrame) -> DataFrame:
 
 
 def train_regions(
-    split: DataFrame, regions: list[str], s: Series, options: TrainingOptions = TrainingOptions()
+    split: DataFrame,
+    regions: list[str],
+    s: Series,
+    options: TrainingOptions = TrainingOptions(),
+    failures: dict[str, str] | None = None,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every region; returns errors by (region, split, model) and the fitted models.
 
-    The loop runs over the requested regions, a short fixed list; all row work is distributed.
+    The requested regions are a short fixed list; all row work is distributed, and a few regions
+    are fitted at a time.  A region that cannot be fitted (no rows, say) does not stop the others:
+    with ``failures`` its message goes there, otherwise it is raised after the others are done.
     """
     rows = by_region(split)
-    models, scored = {}, []
-    for region in regions:
-        mine = rows.filter(F.col("region") == region)
-        train = mine.filter("split = 'train'").persist()
-        params = options.params
-        if options.search_trials:
-            drawn = boosted.draw_params(options.search_trials, params.seed, options.space)
-            params, _ = boosted.search(train, drawn, s, options.n_splits)
-        models[region] = boosted.fit(train, params)
-        train.unpersist()
-        scored.append(boosted.predict(models[region], mine))
+
+    def one(region: str) -> PipelineModel:
+        train = rows.filter((F.col("region") == region) & (F.col("split") == "train")).persist()
+        try:
+            params = options.params
+            if options.search_trials:
+                drawn = boosted.draw_params(options.search_trials, params.seed, options.space)
+                params, _ = boosted.search(train, drawn, s, options.n_splits)
+            return boosted.fit(train, params)
+        finally:
+            train.unpersist()
+
+    models, failed = {}, {}
+    with ThreadPoolExecutor(max(1, options.parallel)) as pool:
+        for region, job in [(r, pool.submit(one, r)) for r in regions]:
+            try:
+                models[region] = job.result()
+            except Exception as failure:
+                failed[region] = failure
+    if failures is not None:
+        failures.update({r: str(f).splitlines()[0] for r, f in failed.items()})
+    elif failed:
+        raise RuntimeError(f"not fitted: {sorted(failed)}") from next(iter(failed.values()))
+    if not models:
+        empty = "region string, split string, model string, mae double"
+        return split.sparkSession.createDataFrame([], empty), models
+    scored = [boosted.predict(m, rows.filter(F.col("region") == r)) for r, m in models.items()]
     errors = evaluate.mae_by(
         evaluate.persistence(union_all(scored).withColumnRenamed("prediction", "_model")),
         ["region", "split"],
@@ -111,3 +135,17 @@ def describe(split: DataFrame) -> DataFrame:
     return split_counts(split).join(extent, ["region", "split"])
 
 
+
+
+def log_shapes(split: DataFrame, ledger: Ledger, run_id: str) -> None:
+    """Rows and time extent of every region and part, as parameters of the run."""
+    values = {"rows": "n_rows", "first_ms": "first_ms", "last_ms": "last_ms"}
+    entries = [
+        F.struct(
+            F.concat_ws("_", F.lit(name), "split").alias("name"),
+            F.col(column).cast("string").alias("value"),
+        )
+        for name, column in values.items()
+    ]
+    shapes = describe(split).select("region", F.explode(F.array(*entries)).alias("_e"))
+    ledger.log_metrics(shapes.select(F.lit(run_id).alias("run_id"), "region", "_e.*"))

@@ -1,14 +1,18 @@
 """The whole chain over folders: payloads, topics, tables, models, scores."""
 
-import importlib
 import json
+import os
+import runpy
+import subprocess
 import sys
+from pathlib import Path
 
 import pytest
 
 from loadcast.schemas import WEATHER_FIELDS
 from tests.helpers import HOUR, START
 
+JOBS = Path(__file__).resolve().parents[1] / "jobs"
 HOURS = 24 * 12
 # The jobs look back from 192 hours before this moment.
 AS_OF = START + (HOURS + 192) * HOUR
@@ -17,7 +21,7 @@ REGIONS = ("CAL", "NY")
 
 def _run(monkeypatch, job, *args):
     monkeypatch.setattr(sys, "argv", [job, "--run-id", "r1", "--regions", ",".join(REGIONS), *args])
-    importlib.import_module(f"jobs.{job}").main()
+    runpy.run_path(str(JOBS / f"{job}.py"), run_name="__main__")
 
 
 def _period(hour, fmt="%Y-%m-%dT%H"):
@@ -59,20 +63,43 @@ def test_chain(spark, landed, monkeypatch):
     from loadcast.store.tables import FeatureStore
 
     stored = FeatureStore(spark, at("store"))
-    assert stored.table("demand", 1).read().count() == 2 * HOURS
-    assert stored.table("weather", 1).read().count() > 0
-
-    _run(monkeypatch, "train", "--store", at("store"), "--status", "Production", "--max-iter", "2", *as_of)
-    readings = spark.read.json(at("t_demand_r1"))
-    from loadcast.schemas import DEMAND_RECORD
-    from loadcast.sources.topics import decode
-
-    decode(readings, DEMAND_RECORD).drop("event_time").write.parquet(at("readings"))
-    _run(monkeypatch, "score", "--store", at("store"), "--readings", at("readings"), "--output", at("out"),
+    assert stored.table("demand_r1", 1).read().count() == 2 * HOURS
+    assert stored.table("weather_r1", 1).read().count() > 0
+
+    _run(monkeypatch, "train", "--store", at("store"), "--status", "Production", "--max-iter", "2",
+         "--debug-path", at("debug"), *as_of)
+    assert spark.read.option("header", True).csv(at("debug/predictions")).count() > 0
+    logged = {r["name"] for r in spark.read.parquet(at("store/runs")).collect()}
+    assert {"rows_train", "first_ms_test", "last_ms_test", "mae_model_test"} <= logged
+    _run(monkeypatch, "score", "--store", at("store"), "--payloads", at("demand"), "--output", at("out"),
          "--as-of-ms", str(START + HOURS * HOUR))
+    status = {r["region"]: r["status"] for r in spark.read.parquet(at("out/status")).collect()}
+    assert status == dict.fromkeys(REGIONS, "ok")
     predictions = spark.read.parquet(at("out/predictions"))
     open_rows = predictions.filter("demand IS NULL")
     assert {r["region"] for r in open_rows.collect()} == set(REGIONS)
     assert spark.read.parquet(at("out/accuracy")).count() == 5 * len(REGIONS)
     assert spark.read.parquet(at("out/hourly")).count() == 24 * len(REGIONS)
     assert spark.read.parquet(at("out/importance")).filter("feature = 'lag_1h'").count() == 2
+
+
+@pytest.mark.parametrize("job", sorted(p.stem for p in JOBS.glob("*.py") if p.stem not in ("__init__", "check_queries")))
+def test_every_job_starts_from_another_folder(job, tmp_path):
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, str(JOBS / f"{job}.py"), "--help"]
+    done = subprocess.run(command, cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=60)
+    assert done.returncode == 0 and "--run-id" in done.stdout, done.stderr
+
+
+def test_pages_landed_with_overlap_lose_no_hour(spark, tmp_path, monkeypatch):
+    (tmp_path / "pages").mkdir()
+    hours = [range(0, 30), range(24, 54), range(48, 60)]
+    for page, span in enumerate(hours):
+        data = [{"period": _period(h), "respondent": "CAL", "type": "D", "value": str(100 * page + h)} for h in span]
+        (tmp_path / "pages" / f"page_{8 + page}.json").write_text(json.dumps({"response": {"data": data}}))
+        os.utime(tmp_path / "pages" / f"page_{8 + page}.json", (1_700_000_000 + page,) * 2)
+    _run(monkeypatch, "ingest_demand", "--payloads", str(tmp_path / "pages"), "--topic", str(tmp_path / "t"),
+         "--page-rows", "20", "--as-of-ms", str(START + (100 + 192) * HOUR))
+    sent = [json.loads(r["value"]) for r in spark.read.json(str(tmp_path / "t_r1")).collect()]
+    got = {r["human_read_period"]: r["demand"] for r in sent}
+    assert got == {_period(h): 100 * min(2, h // 24) + h for h in range(60)}
