@@ -24,7 +24,8 @@ HEADLINE = (
     "prediction_assembly debug_join_future accuracy_metrics mae_by_region mutual_information "
     "standardize hourly_profile weekday_weekend_profile holiday_flag cyclical_features "
     "local_time project_raw json_explode weather_arrays registry_pick counts_rollup "
-    "upsert_latest feature_view_range"
+    "upsert_latest feature_view_range stream_features stream_features_late stream_readings "
+    "model_training model_scoring"
 ).split()
 
 
