@@ -13,7 +13,7 @@ from loadcast.functions.time import DAY_MS, utc_date
 from loadcast.operators import joins
 from loadcast.operators.ranges import TimeRange
 from loadcast.operators.series import Series
-from loadcast.session import any_match, materialise, path_exists, remove, write_text
+from loadcast.session import any_match, path_exists, remove, scratch_path, write_text
 
 def _save_json(spark: SparkSession, path: str, record: dict) -> None:
     write_text(spark, path, json.dumps(record))
@@ -179,8 +179,9 @@ class FeatureTable:
         if merge:
             # Read twice below: its dates first, then its rows.  Written once, so that neither
             # a source nor a stateful step runs again, also when executors are lost.
-            incoming = materialise(incoming, "batch")
-            scratch = incoming.inputFiles()[0].rpartition("/")[0] if incoming.inputFiles() else None
+            scratch = scratch_path(spark, "batch")
+            incoming.write.parquet(scratch)
+            incoming = spark.read.schema(incoming.schema).parquet(scratch)
             touched = incoming.select("event_date").distinct()
             low, high = touched.agg(F.min("event_date"), F.max("event_date")).first()
             stored = self._dated(spark).filter(F.col("event_date").between(low, high))
