@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadcast.llm.decontamination import find_leaks
 from loadcast.llm.language import fit, identify
-from loadcast.llm.line_templates import without_templates
+from loadcast.llm.line_templates import LINES_SQL, without_templates
 from loadcast.llm.mixing import MIX_SQL, mixture
 from loadcast.llm.near_dedup import near_duplicates
 from loadcast.llm.pii import personal_data
@@ -105,6 +105,6 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", leaked, "leaked_items", "leaked_share")
 
 
-@query("op10_line_templates")
+@query("op10_line_templates", LINES_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_templates(table(spark, sf_dir, "documents"))
+    return without_templates(table(spark, sf_dir, "documents")).drop("dropped")

@@ -132,7 +132,8 @@ def plain_templates(parsed, min_docs, similar):
         best = []
         for j in range(size):
             votes = Counter(r["fields"][j] for r in rows)
-            best.append(max(votes, key=lambda v: (votes[v], v)))
+            top = [v for v in votes if votes[v] == max(votes.values())]
+            best.append(top[0] if len(top) == 1 else None)
         near = [
             r for r in rows
             if not size or 100 * sum(a == b for a, b in zip(r["fields"], best, strict=True)) >= similar * size
