@@ -163,7 +163,7 @@ def _term_documents(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """``term, n_term``: documents with each term, at least for all candidates."""
     slot = F.pmod("term", F.lit(MAP_BITS))
     used = np.zeros(MAP_BITS, bool)
-    used[[row[0] for row in candidates.select(slot).distinct().collect()]] = True
+    used[candidates.select(slot.alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(used))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
