@@ -96,7 +96,7 @@ class FmIndex:
         after = np.full(n, 0, np.int64)
         after[: max(0, n - step)] = rank[step:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.empty(n, np.int64)
         ordered = key[order]
         fresh[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
@@ -157,9 +157,10 @@ class FmIndex:
         while len(live):
             c = codes[at[live] - 1]
             known = np.maximum(c, 0)
-            base = self.first[known]
-            to_lo = base + self.wavelet.rank(known, lo[live])
-            to_hi = base + self.wavelet.rank(known, hi[live])
+            ends = np.concatenate([lo[live], hi[live]])
+            to_lo, to_hi = (
+                self.first[known] + self.wavelet.rank(np.tile(known, 2), ends).reshape(2, -1)
+            )
             grown = (c > 0) & (to_lo < to_hi)
             g = live[grown]
             lo[g], hi[g], size[g] = to_lo[grown], to_hi[grown], size[g] + 1

@@ -4,8 +4,8 @@ A window is ``width`` consecutive words.  A word is removed when a window that c
 starts in a document with a smaller doc_id.  An index of the whole corpus in every task, or every
 document against every shard, would grow with the square of the corpus, so shards follow content:
 
-1. every window has an anchor, the ``GRAM`` words of least hash in it (all of equal least); an
-   anchor with the words around it that its windows can reach is a *context*;
+1. every window has an anchor, the ``GRAM`` words of least hash in it (all of equal least); the
+   words of all windows that an anchor has are its *context*;
 2. anchors that occur in one document only are dropped; equal contexts become one row with the
    smallest and largest doc_id (combined before the shuffle: copies cost nothing more);
 3. the words of the remaining contexts are fetched from the smallest document; contexts of an
@@ -14,8 +14,10 @@ document against every shard, would grow with the square of the corpus, so shard
    ``width`` words are reported with the smallest doc_id among their occurrences;
 5. every occurrence of a context takes the windows whose smallest doc_id is below its own.
 
-An anchor with more than ``CROWD`` different contexts has no bounded shard.  Its windows are
-grouped by their 128-bit hash instead (exact as well, combined before the shuffle).
+An anchor with more than ``CROWD`` different contexts has no bounded shard.  Its contexts go to
+finer shards by the anchor with 17 words before or after it (each window has the one or the
+other).  Should such a shard be crowded again, its windows are grouped by their 128-bit hash
+(exact as well, combined before the shuffle).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from loadcast.llm.words import hash_words, mix, split_words
 from loadcast.session import materialise
 
 GRAM = 16
-CROWD = 4096
+CROWD = 256
 CHUNK = 200_000  # words of an index chunk, beyond which the next anchor starts a new one
 
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -71,11 +73,11 @@ def _slide(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
 
 
 def anchors(hashes: np.ndarray, width: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """``position, anchor hash, context hash, context start`` of a document's anchors."""
+    """``position, anchor hash, context hash, context start, end`` of a document's anchors."""
     n = len(hashes)
     if n < width:
         none = np.empty(0, np.int64)
-        return none, none, none, none
+        return none, none, none, none, none
     runs = Runs(hashes)
     at = np.arange(n - gram + 1)
     grams = runs.of(at, at + gram)
@@ -84,10 +86,16 @@ def anchors(hashes: np.ndarray, width: int, gram: int = GRAM) -> tuple[np.ndarra
     pad = np.zeros(reach - 1, np.uint64)
     most = _slide(np.concatenate([pad, least, pad]), reach, np.maximum)
     where = np.flatnonzero(most == grams)
-    start = np.maximum(where - (width - gram), 0)
-    end = np.minimum(where + width, n)
+    # Windows with one least hash are a run; an anchor owns those of its run that hold it.
+    head = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    tail = np.append(head[1:], len(least)) - 1
+    run = np.searchsorted(head, np.maximum(where - reach + 1, 0), "right") - 1
+    while (other := least[head[run]] != grams[where]).any():
+        run += other
+    start = np.maximum(head[run], where - reach + 1)
+    end = np.minimum(tail[run], where) + width
     context = mix(runs.of(start, end) ^ mix((where - start).astype(np.uint64)))
-    return where, grams[where].view(np.int64), context.view(np.int64), start
+    return where, grams[where].view(np.int64), context.view(np.int64), start, end
 
 
 def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -97,7 +105,7 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
             ids, marks = (batch.column(k).to_pylist() for k in (0, 2))
             for doc, text, mark in zip(ids, batch.column(1), marks, strict=True):
                 if doc is not None:
-                    where, anchor, context, start = anchors(
+                    where, anchor, context, start, _ = anchors(
                         hash_words(split_words(text.as_py())), width
                     )
                     same = [np.full(len(where), x, np.int64) for x in (doc, mark)]
@@ -122,7 +130,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-WANTED = "anchor long, context long, crowd boolean, first long, last long, words binary"
+WANTED = (
+    "anchor long, context long, crowd boolean, first long, last long, at int, words binary"
+)
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -134,19 +144,18 @@ def _fetch(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for first, text, asked in zip(*(batch.column(k) for k in range(3)), strict=True):
                 need = {(x["anchor"], x["context"]): x for x in asked.as_py()}
                 words = split_words(text.as_py())
-                where, anchor, context, start = anchors(hash_words(words), width)
+                where, anchor, context, start, end = anchors(hash_words(words), width)
                 for k in range(len(where)):
                     x = need.pop((int(anchor[k]), int(context[k])), None)
                     if x is not None:
-                        end = where[k] + width
                         rows.append(
                             (x["anchor"], x["context"], x["crowd"], first.as_py(), x["last"],
-                             b" ".join(words[start[k] : end]))
+                             int(where[k] - start[k]), b" ".join(words[start[k] : end[k]]))
                         )
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-                names=["anchor", "context", "crowd", "first", "last", "words"],
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate([*kinds, pa.binary()])],
+                names=["anchor", "context", "crowd", "first", "last", "at", "words"],
             )
 
     lists = wanted.groupBy(F.col("first").alias("doc_id")).agg(
@@ -173,11 +182,11 @@ def _search(contexts: DataFrame, width: int) -> DataFrame:
     def solve(chunk: list[tuple]) -> list[tuple[int, int, list[int]]]:
         texts = [hash_words(words.split()) for *_, words in chunk]
         index = FmIndex(texts, width)
-        first = np.array([c[2] for c in chunk], np.int64)
+        first = np.array([c[3] for c in chunk], np.int64)
         owner = index.least_owner(first)
         length, low, _ = index.statistics(texts)
         at, out = 0, []
-        for (anchor, context, _, last, _), text in zip(chunk, texts, strict=True):
+        for (_, anchor, context, _, last, _), text in zip(chunk, texts, strict=True):
             windows = slice(at, at + len(text) - width + 1)
             least = owner[index.class_of[low[windows]]]
             least = np.where(length[windows] >= width, least, last)
@@ -191,32 +200,69 @@ def _search(contexts: DataFrame, width: int) -> DataFrame:
         words = 0
         for batch in batches:
             out = []
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            for row in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 if words >= CHUNK and row[0] != chunk[-1][0]:
                     out += solve(chunk)
                     chunk, words = [], 0
                 chunk.append(row)
-                words += row[4].count(b" ") + 1
+                words += row[5].count(b" ") + 1
             yield _least_batch(out)
         if chunk:
             yield _least_batch(solve(chunk))
 
-    shards = contexts.select("anchor", "context", "first", "last", "words")
-    shards = shards.repartition("anchor").sortWithinPartitions("anchor")
+    shards = contexts.select("shard", "anchor", "context", "first", "last", "words")
+    shards = shards.repartition("shard").sortWithinPartitions("shard")
     return shards.mapInArrow(run, LEAST)
 
 
+def _finer(contexts: DataFrame, width: int, crowd: int) -> DataFrame:
+    """Contexts of crowded anchors by longer anchors; those in one document only are left out."""
+    more = (width - GRAM + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, shard, sides = [], [], []
+            for k, (at, raw) in enumerate(
+                zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
+            ):
+                runs, n = Runs(hash_words(raw.split())), raw.count(b" ") + 1
+                for side, start in ((0, at - more), (1, at)):
+                    end = start + more + GRAM
+                    if start >= 0 and end <= n:
+                        found = runs.of(np.array([start]), np.array([end]))
+                        row.append(k)
+                        sides.append(side)
+                        shard.append(mix(found + np.uint64(side)).view(np.int64)[0])
+            out = batch.take(pa.array(row, pa.int64()))
+            out = out.append_column("shard", pa.array(shard, pa.int64()))
+            yield out.append_column("side", pa.array(sides, pa.int32()))
+
+    rows = contexts.select("anchor", "context", "first", "last", "at", "words").mapInArrow(
+        run,
+        "anchor long, context long, first long, last long, at int, words binary, shard long, side int",
+    )
+    rows = materialise(rows, "finer")
+    shared = rows.groupBy("shard").agg(
+        F.min("first").alias("lo"), F.max("last").alias("hi"), F.count(F.lit(1)).alias("n")
+    )
+    shared = shared.where("lo < hi").select("shard", (F.col("n") > crowd).alias("crowd"))
+    return rows.join(shared, "shard")
+
+
 def _crowded(contexts: DataFrame, width: int) -> DataFrame:
     """The same for anchors with very many contexts: windows grouped by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for anchor, context, first, last, raw in zip(
-                *(batch.column(k).to_pylist() for k in range(5)), strict=True
+            for anchor, context, first, last, place, side, raw in zip(
+                *(batch.column(k).to_pylist() for k in range(7)), strict=True
             ):
                 hashes = hash_words(raw.split())
-                at = np.arange(len(hashes) - width + 1)
+                # The other windows of the context are in the shard of its other side.
+                bound = max(0, place - (width - GRAM + 1) // 2 + 1)
+                every = len(hashes) - width + 1
+                at = np.arange(bound, every) if side else np.arange(min(bound, every))
                 one = Runs(hashes).of(at, at + width).view(np.int64)
                 two = Runs(mix(hashes)).of(at, at + width).view(np.int64)
                 same = [np.full(len(at), x, np.int64) for x in (anchor, context, first, last)]
@@ -227,13 +273,27 @@ def _crowded(contexts: DataFrame, width: int) -> DataFrame:
                 names=["anchor", "context", "first", "last", "at", "one", "two"],
             )
 
-    rows = contexts.select("anchor", "context", "first", "last", "words").mapInArrow(
+    names = ["anchor", "context", "first", "last", "at", "side", "words"]
+    rows = contexts.select(*names).mapInArrow(
         run, "anchor long, context long, first long, last long, at long, one long, two long"
     )
-    least = rows.groupBy("one", "two").agg(F.min("first").alias("least"))
-    found = rows.join(least, ["one", "two"]).groupBy("anchor", "context", "last")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "least")))
-    found = found.agg(F.transform(ordered, lambda x: x["least"]).alias("least"))
+    # Written, so that the join below reads both sides afresh and AQE can split a hot window.
+    rows = materialise(rows, "windows")
+    least = rows.groupBy("one", "two").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n"))
+    least = materialise(least.where("n > 1").drop("n"), "windows")
+    # A window of one context only has the smallest document of that context.
+    found = rows.join(least, ["one", "two"], "left")
+    found = found.withColumn("least", F.coalesce("least", "first"))
+    found = found.groupBy("anchor", "context", "last")
+    # A document that is repeated has given its contexts more than once.
+    ordered = F.array_sort(F.collect_set(F.struct("at", "least")))
+    found = found.agg(ordered.alias("found"))
+    # Windows of a side that is not crowded are missing here: their place holds a NULL.
+    places = F.sequence(F.lit(0), F.element_at("found", -1)["at"].cast("int"))
+    known = F.map_from_entries("found")
+    found = found.withColumn(
+        "least", F.transform(places, lambda k: F.try_element_at(known, k.cast("long")))
+    )
     return found.where(F.array_min("least") < F.col("last")).select("anchor", "context", "least")
 
 
@@ -254,9 +314,10 @@ def repeated_starts(docs: DataFrame, width: int = 50, crowd: int = CROWD) -> Dat
         .select("anchor", (F.col("n") > crowd).alias("crowd"))
     )
     words = materialise(_fetch(docs, contexts.join(shared, "anchor"), width), "words")
-    least = _search(words.where("NOT crowd"), width).unionByName(
-        _crowded(words.where("crowd"), width)
-    )
+    finer = materialise(_finer(words.where("crowd"), width, crowd), "crowd")
+    shards = words.where("NOT crowd").withColumn("shard", F.col("anchor"))
+    shards = shards.unionByName(finer.where("NOT crowd"), allowMissingColumns=True)
+    least = _search(shards, width).unionByName(_crowded(finer.where("crowd"), width))
     least = materialise(least, "least")
     known = F.filter(
         F.transform("least", lambda m, k: F.when(m < F.col("doc_id"), F.col("start") + k)),
