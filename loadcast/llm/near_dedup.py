@@ -94,7 +94,13 @@ def signatures(docs: DataFrame, width: int, halves: int, rows: int) -> DataFrame
 
 
 def _table_rows(classes: DataFrame) -> DataFrame:
-    """One row per class and table."""
+    """One row per class and table.
+
+    The rows grow here by the number of tables, so the few files of the narrow input are dealt
+    to as many tasks as any shuffle first.
+    """
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    classes = classes.repartition(tasks, "doc_id")
     keys = F.flatten(
         F.transform(
             "left",
