@@ -1,7 +1,7 @@
 """Language identification by Bayesian fusion of text, declaration, address and host.
 
-* Text: naive Bayes over hashed byte trigrams, fitted on a bounded sample of labelled rows
-  (``FIT_ROWS``); the mean log-likelihood counts as ``TEMPER`` trigrams at most, as neighbouring
+* Text: naive Bayes over hashed byte trigrams, fitted on a sample of about ``FIT_ROWS`` labelled
+  rows; the mean log-likelihood counts as ``TEMPER`` trigrams at most, as neighbouring
   trigrams are not independent.
 * Declared language (markup or metadata): right with probability ``DECLARED``.
 * Address: a country suffix, or a language as first path segment; right with ``ADDRESS``.
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadcast.llm.sampling import hashed_sample
 from loadcast.llm.words import encode
 from loadcast.session import materialise
 
@@ -71,9 +72,10 @@ class Model:
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS, buckets: int = BUCKETS) -> Model:
-    """``labelled(text, lang)``: the ``rows`` rows of least hash are used."""
-    sample = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
-    sample = sample.orderBy(F.xxhash64("text"), "text", "lang").limit(rows).repartition(8)
+    """``labelled(doc_id, text, lang)``: about ``rows`` rows are used, chosen by hash."""
+    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
+    sample = hashed_sample(known.select("doc_id", "text", "lang"), rows, "doc_id", "text")
+    sample = sample.select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
