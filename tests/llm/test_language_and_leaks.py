@@ -113,6 +113,39 @@ def test_leaks(spark, monkeypatch, block):
     assert none.where("size(leaked_items) > 0").count() == 0
 
 
+def test_no_copy_is_lost_in_a_large_benchmark(spark):
+    """Every planted copy that step 4 accepts is a candidate, verbatim or paraphrased."""
+    draw = random.Random(5)
+    often = [1.0 / (k + 1) for k in range(4000)]
+
+    def text(words):
+        return [f"w{k}" for k in draw.choices(range(4000), often, k=words)]
+
+    items = [text(draw.randrange(20, 50)) for _ in range(2000)]
+    rows, want = [], {}
+    for k in range(200):
+        item = draw.randrange(len(items))
+        words = list(items[item])
+        if k % 2:
+            answer = max(3, -(-len(words) // 5))
+            free = range(len(words) - answer)
+            for at in draw.sample(free, min(len(free), int(0.4 * len(words)))):
+                words[at] = f"other{at}"
+        rows.append((k, " ".join([*text(draw.randrange(90)), *words, *text(60)]), "", "", 0))
+        want[k] = item
+    benchmark = spark.createDataFrame(
+        [(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string"
+    )
+    got = {r["doc_id"]: r["leaked_items"] for r in find_leaks(frame(spark, rows), benchmark).collect()}
+    assert [k for k in want if want[k] not in got[k]] == []
+    known = decontamination.read_items(list(enumerate(map(" ".join, items))))
+    for k, text_, *_ in rows[:2]:
+        near = known.code(text_)
+        window = lambda n: [near[a : a + n] for a in range(0, max(1, len(near) - n + 1))]
+        brute = [i for i, c in enumerate(known.codes) if any(confirmed(c, w) for w in window(len(c)))]
+        assert set(brute) <= set(got[k])
+
+
 def test_fold_keeps_letters_and_digits():
     assert fold("Ab-C1 é!!\x85x") == [b"ab", b"c1", "é".encode(), "\x85x".encode()]
 
