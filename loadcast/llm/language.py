@@ -1,7 +1,7 @@
 """Language identification by Bayesian fusion of text, declaration, address and host.
 
 * Text: naive Bayes over hashed byte trigrams, fitted on a sample of about ``FIT_ROWS`` labelled
-  rows; the mean log-likelihood counts as ``TEMPER`` trigrams at most, as neighbouring
+  rows, drawn by language so that each one is known at every size; the mean log-likelihood counts as ``TEMPER`` trigrams at most, as neighbouring
   trigrams are not independent.
 * Declared language (markup or metadata): right with probability ``DECLARED``.
 * Address: a country suffix, or a language as first path segment; right with ``ADDRESS``.
@@ -21,11 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.sampling import hashed_sample
+from loadcast.llm.sampling import hashed_sample_by
 from loadcast.llm.words import encode
 from loadcast.session import materialise
 
 FIT_ROWS = 4000
+FIT_LEAST = 50  # rows of a language, where it has as many
 BUCKETS = 1 << 14
 TEMPER = 60
 DECLARED = 0.8
@@ -72,9 +73,13 @@ class Model:
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS, buckets: int = BUCKETS) -> Model:
-    """``labelled(doc_id, text, lang)``: about ``rows`` rows are used, chosen by hash."""
+    """``labelled(doc_id, text, lang)``: about ``rows`` rows are used, chosen by hash.
+
+    Languages share them evenly; one with few labelled rows has all of them in the model.
+    """
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    sample = hashed_sample(known.select("doc_id", "text", "lang"), rows, "doc_id", "text")
+    known = known.select("doc_id", "text", "lang")
+    sample = hashed_sample_by(known, rows, FIT_LEAST, "lang", "doc_id", "text")
     sample = sample.select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,6 +31,15 @@ def test_language_of_held_out_texts(spark, spoken):
     assert right >= 98 and all(r["kept"] for r in out)
 
 
+def test_rare_language_is_in_the_model(spark):
+    rows = [(k, speech("aa", k, 6), "aa", None, 0) for k in range(4000)]
+    rows += [(5000 + k, speech("bb", k, 30), "bb", None, 0) for k in range(3)]
+    model = fit(frame(spark, rows), rows=100)
+    assert model.languages == ["aa", "bb"]
+    out = identify(frame(spark, rows[-3:]), model, ["doc_id"], F.col("text"), declared=F.col("lang"))
+    assert [r["language"] for r in out.collect()] == ["bb"] * 3
+
+
 def test_evidence_decides_where_the_text_does_not(spark, spoken):
     model = fit(spoken)
     host = [(k, speech("bb", k, 30), None, "www.site.example", 0) for k in range(60)]
