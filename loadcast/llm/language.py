@@ -9,7 +9,13 @@
   parent domain and that towards the whole corpus (``STRENGTH`` pseudo-documents each), from
   grouped aggregation over all documents.
 
-Documents without letters, or whose best language stays below ``LEAST``, are rejected.
+* Unknown: a text whose mean log-likelihood per trigram lies ``FAR`` deviations (and ``APART``) below what the fitted
+  rows of its likeliest language have when they are left out of the counts fits none of the
+  languages.  The deviation adds the spread between rows and that of the text's own trigrams, so a
+  short text has to be further off; one below ``TELLING`` trigrams cannot tell.
+
+Documents without letters, those that fit no language, and those whose best language stays below
+``LEAST`` are rejected.
 """
 
 from __future__ import annotations
@@ -33,6 +39,10 @@ DECLARED = 0.8
 ADDRESS = 0.7
 STRENGTH = 20.0
 LEAST = 0.5
+FAR = 6.0
+APART = 2.0
+TELLING = 12
+OVERLAP = 3.0  # neighbouring trigrams are not independent
 
 # Country suffixes and the language most used there.
 SUFFIXES = {
@@ -57,19 +67,26 @@ def trigrams(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
 
 
 class Model:
-    """Log-likelihood of every trigram bucket under every language (a fixed number of values)."""
+    """Log-likelihood of every trigram bucket under every language (a fixed number of values).
+
+    ``usual`` holds the mean log-likelihood per trigram of each language's own rows, its variance
+    between rows, and that between the trigrams of a row.
+    """
 
-    def __init__(self, languages: list[str], table: np.ndarray) -> None:
-        self.languages, self.table = languages, table
+    def __init__(self, languages: list[str], table: np.ndarray, usual: np.ndarray) -> None:
+        self.languages, self.table, self.usual = languages, table, usual
 
-    def log_likelihood(self, text: str | None) -> tuple[int, np.ndarray]:
-        """Trigrams of a text, and the tempered log-likelihood per language."""
+    def log_likelihood(self, text: str | None) -> tuple[int, np.ndarray, bool]:
+        """Trigrams of a text, the tempered log-likelihood per language, and whether one fits."""
         found = trigrams(text, len(self.table))
         n = len(found)
         if n == 0 or not self.languages:
-            return 0, np.zeros(len(self.languages))
+            return 0, np.zeros(len(self.languages)), False
         counts = np.bincount(found, minlength=len(self.table))
-        return n, counts @ self.table / n * min(n, TEMPER)
+        mean = counts @ self.table / n
+        usual, between, within = self.usual[:, mean.argmax()]
+        least = usual - max(APART, FAR * np.sqrt(between + OVERLAP * within / n))
+        return n, mean * min(n, TEMPER), n < TELLING or bool(mean.max() >= least)
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS, buckets: int = BUCKETS) -> Model:
@@ -80,7 +97,8 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS, buckets: int = BUCKETS) -> Mo
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     known = known.select("doc_id", "text", "lang")
     sample = hashed_sample_by(known, rows, FIT_LEAST, "lang", "doc_id", "text")
-    sample = sample.select("text", "lang")
+    # Written once: it is read for the counts and again for the fit of each row.
+    sample = materialise(sample.select("text", "lang"), "fitted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -102,7 +120,45 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS, buckets: int = BUCKETS) -> Mo
     table = np.full((buckets, len(languages)), 0.5)
     for r in rows:
         table[r["bucket"], languages.index(r["lang"])] += r["n"]
-    return Model(languages, np.log(table / table.sum(axis=0)) if languages else table)
+    if not languages:
+        return Model(languages, table, np.zeros((3, 0)))
+    return Model(languages, np.log(table / table.sum(axis=0)), _usual(sample, languages, table))
+
+
+def _usual(sample: DataFrame, languages: list[str], table: np.ndarray) -> np.ndarray:
+    """``Model.usual`` from the fitted rows, each judged by the counts of the others."""
+    sent = sample.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
+        total = table.sum(axis=0)
+        for batch in batches:
+            rows = []
+            for text, lang in zip(batch.column(0), batch.column(1), strict=True):
+                used, n = np.unique(trigrams(text.as_py(), len(table)), return_counts=True)
+                if n.sum() < TELLING:
+                    continue
+                k = languages.index(lang.as_py())
+                logs = np.log((table[used, k] - n) / (total[k] - n.sum()))
+                mean = (logs @ n) / n.sum()
+                rows.append((k, mean, ((logs - mean) ** 2 @ n) / n.sum()))
+            kinds = [pa.int64(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)],
+                names=["k", "mean", "within"],
+            )
+
+    judged = sample.mapInArrow(run, "k long, mean double, within double").toArrow()
+    which, mean, within = (judged[name].to_numpy() for name in ("k", "mean", "within"))
+    # A language whose rows are all too short to tell rejects nothing.
+    usual = np.stack([np.full(len(languages), -np.inf), *np.zeros((2, len(languages)))])
+    for k in np.unique(which):
+        own = mean[which == k]
+        # Medians: some rows carry a wrong label.
+        middle = np.median(own)
+        between = (1.4826 * np.median(np.abs(own - middle))) ** 2
+        usual[:, k] = middle, between, np.median(within[which == k])
+    return usual
 
 
 def suffix_language(url: Column) -> Column:
@@ -131,7 +187,7 @@ def _log_odds(claim: Column, languages: list[str], right: float) -> list[Column]
 def _priors(texted: DataFrame, languages: list[str]) -> DataFrame:
     """``host, prior``: smoothed share of each language by host, domain and corpus."""
     sums = [F.sum(F.col("by_text")[k]).alias(f"s{k}") for k in range(len(languages))]
-    hosts = texted.where("n > 0").groupBy("host", "parent").agg(*sums, F.count(F.lit(1)).alias("m"))
+    hosts = texted.where("fits").groupBy("host", "parent").agg(*sums, F.count(F.lit(1)).alias("m"))
     hosts = materialise(hosts, "hosts")
 
     def rolled(df: DataFrame, *keys: str) -> DataFrame:
@@ -175,8 +231,8 @@ def identify(
 
     ``text``, ``declared`` (a language code), ``address`` (a URL) and ``host`` are expressions over
     ``docs``; any of them may be null.  Host ``a.b.example.com`` has the parent ``example.com``.
-    A text without letters has language null, confidence 0 and is not kept; so has every row when
-    the model knows no language.  Rows are judged each, repeated or not; a null host is a host of
+    A text without letters, or that fits none of the languages, has language null, confidence 0 and
+    is not kept; so has every row when the model knows no language.  Rows are judged each, repeated or not; a null host is a host of
     its own.  An empty table gives no rows.
     """
     none = F.lit(None).cast("string")
@@ -188,18 +244,19 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for batch in batches:
-            n, logs, shares = [], [], []
+            n, logs, shares, fits = [], [], [], []
             for value in batch.column(batch.num_columns - 1):
-                size, log = known.log_likelihood(value.as_py())
+                size, log, fit = known.log_likelihood(value.as_py())
                 share = np.exp(log - log.max()) if len(log) else log
                 n.append(size)
+                fits.append(fit)
                 logs.append(log.tolist())
                 shares.append((share / share.sum()).tolist() if len(log) else [])
             kind = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(logs, kind),
-                 pa.array(shares, kind)],
-                names=[*batch.schema.names[:-1], "n", "log", "by_text"],
+                 pa.array(shares, kind), pa.array(fits, pa.bool_())],
+                names=[*batch.schema.names[:-1], "n", "log", "by_text", "fits"],
             )
 
     given = docs.select(
@@ -211,7 +268,9 @@ def identify(
     )
     head = given.drop("text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in head.schema)
-    texted = given.mapInArrow(run, f"{fields}, n long, log array<double>, by_text array<double>")
+    texted = given.mapInArrow(
+        run, f"{fields}, n long, log array<double>, by_text array<double>, fits boolean"
+    )
     texted = texted.withColumn("parent", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
     texted = materialise(texted, "texted")
     if not languages:
@@ -228,12 +287,12 @@ def identify(
     joined = joined.withColumn("scores", F.array(*scores)).withColumn("top", F.array_max("scores"))
     names = F.array(*map(F.lit, languages))
     language = F.when(
-        F.col("n") > 0, F.element_at(names, F.array_position("scores", F.col("top")).cast("int"))
+        F.col("fits"), F.element_at(names, F.array_position("scores", F.col("top")).cast("int"))
     )
     mass = F.aggregate(
         "scores", F.lit(0.0), lambda sum_, score: sum_ + F.exp(score - F.col("top"))
     )
-    confidence = F.when(F.col("n") > 0, 1.0 / mass).otherwise(0.0)
+    confidence = F.when(F.col("fits"), 1.0 / mass).otherwise(0.0)
     return joined.select(
         *keys, language.alias("language"), confidence.alias("confidence")
     ).withColumn("kept", F.col("confidence") >= LEAST)

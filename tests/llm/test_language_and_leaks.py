@@ -40,6 +40,20 @@ def test_rare_language_is_in_the_model(spark):
     assert [r["language"] for r in out.collect()] == ["bb"] * 3
 
 
+def test_text_of_no_fitted_language_is_rejected(spark, spoken):
+    draw = random.Random(8)
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    foreign = ["".join(draw.choices(abc + " ", k=300)) for _ in range(10)]
+    foreign += [" ".join("".join(draw.choices(["lai", "nen", "kyy", "pos"], k=3)) for _ in range(20)) for _ in range(10)]
+    foreign += ["это совсем другой язык и он никому не известен", "这是一种完全不同的语言没有人认识它"]
+    rows = [(k, t, "aa", "s0", 0) for k, t in enumerate(foreign)]
+    rows += [(100 + k, speech("bb", 700 + k, 20), None, "s0", 0) for k in range(50)]
+    out = identify(frame(spark, rows), fit(spoken), ["doc_id"], F.col("text"), declared=F.col("lang"), host=F.col("source"))
+    out = {r["doc_id"]: r for r in out.collect()}
+    assert [k for k in out if k < 100 and (out[k]["kept"] or out[k]["language"])] == []
+    assert [k for k in out if k >= 100 and out[k]["language"] != "bb"] == []
+
+
 def test_evidence_decides_where_the_text_does_not(spark, spoken):
     model = fit(spoken)
     host = [(k, speech("bb", k, 30), None, "www.site.example", 0) for k in range(60)]
