@@ -155,3 +155,24 @@ def test_quality_rules(spark):
             assert r["kept"] == (not r["base_failed"] and r["score"] >= 0.0)
     assert not log_ratios(docs.where("false"), docs).any()
     assert quality_rules(frame(spark, []), labels).count() == 0
+
+
+def test_labels_decide_threshold_and_telling_words(spark):
+    draw = random.Random(4)
+    rows, labels = [], []
+    for k in range(600):
+        words = [f"v{draw.randrange(300)}" for _ in range(draw.randrange(60, 200))]
+        junk, toxic = k % 6 == 1, k % 6 == 2
+        if junk:  # every third word is a symbol run: a mean that is only a little lower
+            words = [w + "&&%"[k % 3 :] if j % 3 == 0 else w for j, w in enumerate(words)]
+        if toxic:
+            words[draw.randrange(len(words))] = f"slur{k // 12 % 4}"
+        rows.append((k, " ".join(words), "", "", 0))
+        if k % 12 < 6:
+            labels.append((k, int(not junk), int(toxic)))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(frame(spark, rows), labels).collect()}
+    held_out = [k for k in kept if k % 12 >= 6]
+    assert not any(kept[k] for k in held_out if k % 6 in (1, 2))
+    good = [kept[k] for k in held_out if k % 6 not in (1, 2)]
+    assert sum(good) >= 0.95 * len(good)
