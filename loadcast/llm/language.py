@@ -32,7 +32,7 @@ from loadcast.llm.words import encode
 from loadcast.session import materialise
 
 FIT_ROWS = 4000
-FIT_LEAST = 50  # rows of a language, where it has as many
+FIT_LEAST = 120  # rows of a language, where it has as many
 BUCKETS = 1 << 14
 TEMPER = 60
 DECLARED = 0.8
@@ -40,6 +40,7 @@ ADDRESS = 0.7
 STRENGTH = 20.0
 LEAST = 0.5
 FAR = 6.0
+USUAL_ROWS = 80  # the spread of fewer rows is too uncertain to reject by
 APART = 2.0
 TELLING = 12
 OVERLAP = 3.0  # neighbouring trigrams are not independent
@@ -150,10 +151,12 @@ def _usual(sample: DataFrame, languages: list[str], table: np.ndarray) -> np.nda
 
     judged = sample.mapInArrow(run, "k long, mean double, within double").toArrow()
     which, mean, within = (judged[name].to_numpy() for name in ("k", "mean", "within"))
-    # A language whose rows are all too short to tell rejects nothing.
+    # A language with too few rows of telling length rejects nothing.
     usual = np.stack([np.full(len(languages), -np.inf), *np.zeros((2, len(languages)))])
     for k in np.unique(which):
         own = mean[which == k]
+        if len(own) < USUAL_ROWS:
+            continue
         # Medians: some rows carry a wrong label.
         middle = np.median(own)
         between = (1.4826 * np.median(np.abs(own - middle))) ** 2
