@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadcast.llm.collocations import COLLOCATIONS_SQL, collocations
 from loadcast.llm.decontamination import find_leaks
 from loadcast.llm.language import fit, identify
 from loadcast.llm.line_templates import LINES_SQL, without_templates
@@ -108,3 +109,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_templates", LINES_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_templates(table(spark, sf_dir, "documents")).drop("dropped")
+
+
+@query("op11_collocations", COLLOCATIONS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return collocations(docs, least=10, within_percent=50, top=2_000)
