@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.llm.collocations import COLLOCATIONS_SQL, collocations
+from loadcast.llm.conversation_trie import TRIE_SQL, prefix_trie
 from loadcast.llm.decontamination import find_leaks
 from loadcast.llm.language import fit, identify
 from loadcast.llm.line_templates import LINES_SQL, without_templates
@@ -115,3 +116,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return collocations(docs, least=10, within_percent=50, top=2_000)
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
