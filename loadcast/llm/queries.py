@@ -12,6 +12,7 @@ from loadcast.llm.conversation_trie import TRIE_SQL, prefix_trie
 from loadcast.llm.decontamination import find_leaks
 from loadcast.llm.language import fit, identify
 from loadcast.llm.line_templates import LINES_SQL, without_templates
+from loadcast.llm.lm_scoring import score_texts
 from loadcast.llm.mixing import MIX_SQL, mixture
 from loadcast.llm.near_dedup import near_duplicates
 from loadcast.llm.pii import personal_data
@@ -121,3 +122,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_prefix_trie", TRIE_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_lm_scoring")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
