@@ -31,6 +31,7 @@ from loadcast.session import materialise
 
 SHARD_TURNS = 1 << 18
 CHUNK_IDS = 1 << 16
+HEAD_PARTS = 64
 WIDTH = 16
 GROUP = 20
 NO_ENDS = hashlib.sha256(b"").hexdigest()
@@ -266,8 +267,12 @@ def prefix_trie(conversations: DataFrame, shard_turns: int = SHARD_TURNS) -> Dat
     spines = spines.withColumn("parent_conv_id", F.lit(None).cast("long"))
     columns = ["conv_id", "depth", "parent_conv_id", *figures, "ends", "parent_path"]
     whole = nodes.where("path IS NULL").select(columns).unionByName(spines.select(columns))
-    heads = spines.select(F.col("path").alias("parent_path"), F.col("conv_id").alias("head"))
-    below = whole.where("parent_path IS NOT NULL").join(heads, "parent_path")
+    # A node may have any number of children, so its few rows are repeated for parts of them.
+    part = F.pmod(F.xxhash64("conv_id", "depth"), F.lit(HEAD_PARTS))
+    parts = F.explode(F.expr(f"sequence(0L, {HEAD_PARTS - 1}L)")).alias("part")
+    heads = spines.select(F.col("path").alias("parent_path"), F.col("conv_id").alias("head"), parts)
+    below = whole.where("parent_path IS NOT NULL").withColumn("part", part)
+    below = below.join(heads, ["parent_path", "part"])
     below = below.withColumn("parent_conv_id", F.col("head")).select(columns)
     whole = whole.where("parent_path IS NULL").unionByName(below)
     return whole.select(
