@@ -106,6 +106,67 @@ def feature_view_range(spark, sf_dir):
     return store.read_view(view, EVENT_RANGE)
 
 
+def _three_states(spark, sf_dir):
+    """A table after a load, a correction of its later half, and one more hour for each region."""
+    table = FeatureTable.get_or_create(spark, scratch_path(spark, "store"), "demand", 1, "region")
+    hourly = i.hourly(spark, sf_dir)
+    table.upsert(hourly, "load")
+    late = hourly.filter(F.col("timestamp_ms") >= MIDDLE_MS)
+    table.upsert(late.withColumn("demand", F.col("demand") + 1), "fix")
+    newest = quality.latest_row(hourly, "region", "timestamp_ms")
+    more = F.col("timestamp_ms") + HOUR_MS
+    table.upsert(newest.withColumn("timestamp_ms", more), "more")
+    return table
+
+
+@query(
+    "table_as_of",
+    "WITH " + i.HOURLY + f""", fixed AS (
+      SELECT region, timestamp_ms,
+             CASE WHEN timestamp_ms >= {MIDDLE_MS} THEN demand + 1 ELSE demand END AS demand
+      FROM hourly), newest AS (
+      SELECT region, timestamp_ms + {HOUR_MS} AS timestamp_ms, demand FROM hourly
+      QUALIFY row_number() OVER (PARTITION BY region ORDER BY timestamp_ms DESC) = 1)
+    SELECT 1 AS state, * FROM hourly UNION ALL SELECT 2, * FROM fixed
+    UNION ALL SELECT 3, * FROM fixed UNION ALL SELECT 3, * FROM newest""",
+)
+def table_as_of(spark, sf_dir):
+    """Every published state of a table that was loaded, corrected and extended."""
+    table = _three_states(spark, sf_dir)
+    columns = ["region", "timestamp_ms", "demand"]
+    states = [
+        table.read(number=n).select(F.lit(n).alias("state"), *columns) for n in (1, 2, 3)
+    ]
+    return reshape.union_all(states)
+
+
+@query(
+    "table_summary",
+    "WITH " + i.HOURLY + f""", fixed AS (
+      SELECT region, timestamp_ms,
+             CASE WHEN timestamp_ms >= {MIDDLE_MS} THEN demand + 1 ELSE demand END AS demand
+      FROM hourly), newest AS (
+      SELECT region, timestamp_ms + {HOUR_MS} AS timestamp_ms, demand FROM hourly
+      QUALIFY row_number() OVER (PARTITION BY region ORDER BY timestamp_ms DESC) = 1),
+    whole AS (SELECT * FROM fixed UNION ALL SELECT * FROM newest)
+    SELECT region, CAST(make_timestamp(timestamp_ms * 1000) AS DATE) AS event_date,
+           count(*) AS n_rows, count(demand) AS n_demand, max(timestamp_ms) AS last_ms,
+           max_by(demand, timestamp_ms) AS last_demand
+    FROM whole GROUP BY ALL""",
+)
+def table_summary(spark, sf_dir):
+    """What a table keeps for each region and date beside its rows, after three upserts."""
+    summary = _three_states(spark, sf_dir).summary()
+    return summary.select(
+        "region",
+        "event_date",
+        F.col("_rows").alias("n_rows"),
+        F.col("_counts.demand").alias("n_demand"),
+        F.col("_last.timestamp_ms").alias("last_ms"),
+        F.col("_last.demand").alias("last_demand"),
+    )
+
+
 PARTITIONS = 4
 
 

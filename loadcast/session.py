@@ -6,6 +6,7 @@ import functools
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -96,9 +97,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def any_match(spark: SparkSession, pattern: str) -> bool:
-    files, target = _file_system(spark, pattern)
-    return len(files.globStatus(target) or []) > 0
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(target)]
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -107,12 +111,38 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small marker file, written under another name first so that it appears whole."""
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that appears whole or not at all; False if there is one of that name.
+
+    The text is written under another name and renamed without overwriting, so of several
+    writers of one name exactly one succeeds.
+    """
     files, target = _file_system(spark, path)
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    if files.exists(target):
+        return False
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = files.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
-    files.delete(target, False)
-    files.rename(draft, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        files.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    keep = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(draft, target, keep)
+    except Py4JJavaError as error:
+        files.delete(draft, False)
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, target = _file_system(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

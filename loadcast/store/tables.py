@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+import datetime
 import json
+import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from loadcast.functions.time import DAY_MS, utc_date
 from loadcast.operators import joins
 from loadcast.operators.ranges import TimeRange
 from loadcast.operators.series import Series
-from loadcast.session import any_match, path_exists, remove, scratch_path, write_text
+from loadcast.session import (
+    create_text,
+    list_names,
+    materialise,
+    path_exists,
+    read_text,
+    remove,
+)
 
-def _save_json(spark: SparkSession, path: str, record: dict) -> None:
-    write_text(spark, path, json.dumps(record))
 
+ROWS, COUNTS, LAST = "_rows", "_counts", "_last"
 
-def _load_json(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path).first()[0])
+
+class PublishConflict(RuntimeError):
+    """Another writer published a version first; the batch can be tried again."""
 
 
 @dataclass(frozen=True)
@@ -29,26 +38,43 @@ class TableMeta:
     version: int
     primary_key: list[str]
     event_time: str
-    schema: str | None = None
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """One published state of a table: for each date the folder that holds it."""
+
+    number: int
+    meta: dict
+    schema: str | None
+    batch: str | None
+    dates: dict[str, str]
+
+    @property
+    def columns(self) -> StructType:
+        return StructType.fromJson(json.loads(self.schema)) if self.schema else StructType()
 
 
 class FeatureTable:
     """Versioned Parquet table by event date, one row per primary key and event time.
 
-    ``upsert`` rewrites the touched dates only.  The new content of those dates is first
-    staged under the batch id; the table itself is overwritten from the finished stage.  A
-    replay after a crash finds either no stage (and computes it from an untouched table), or a
-    finished one (and copies it again), or the batch noted as done (and skips it).  The stage is
-    removed once the batch is done.
+    Files are never changed.  ``upsert`` writes the whole new content of the touched dates to new
+    folders, with a summary beside it, and then publishes a manifest that names a folder for
+    each date.  Manifests are numbered; the highest number is the table.  A manifest appears by one
+    rename that doesn't overwrite, so a reader sees one version or the next, a crash at any point
+    leaves the last version (and folders nobody names, see ``expire``), and of two writers
+    one gets ``PublishConflict``.  A manifest carries its batch id: a replayed batch is skipped.
 
-    The schema is stored with the table.  A batch's columns are cast to it; columns that a batch
+    The summary has a row for each key and date: rows (``_rows``), values of each column
+    (``_counts``) and the last row (``_last``).  Look-ups into the past read it instead of the rows.
+
+    The schema is part of the manifest.  A batch's columns are cast to it; columns that a batch
     lacks keep their stored values, new columns are added to the table (NULL in older rows).
     """
 
     def __init__(self, spark: SparkSession, root: str, meta: TableMeta):
         self.spark, self.meta = spark, meta
         self.base = f"{root.rstrip('/')}/{meta.name}_v{meta.version}"
-        self.path = f"{self.base}/data"
 
     @classmethod
     def get_or_create(
@@ -64,66 +90,105 @@ class FeatureTable:
         if isinstance(primary_key, str):
             primary_key = [k.strip() for k in primary_key.split(",")]
         table = cls(spark, root, TableMeta(name, version, primary_key, event_time))
-        if path_exists(spark, table._meta_path):
-            return cls.get(spark, root, name, version)
-        _save_json(spark, table._meta_path, asdict(table.meta))
-        return table
+        table._publish(Manifest(0, asdict(table.meta), None, None, {}))
+        return cls.get(spark, root, name, version)
 
     @classmethod
     def get(cls, spark: SparkSession, root: str, name: str, version: int) -> FeatureTable:
         probe = cls(spark, root, TableMeta(name, version, [], ""))
-        return cls(spark, root, TableMeta(**_load_json(spark, probe._meta_path)))
-
-    @property
-    def _meta_path(self) -> str:
-        return f"{self.base}/meta.json"
+        return cls(spark, root, TableMeta(**probe.manifest(0).meta))
 
     @property
     def keys(self) -> list[str]:
         return list(dict.fromkeys([*self.meta.primary_key, self.meta.event_time]))
 
+    def _numbers(self) -> list[int]:
+        names = list_names(self.spark, f"{self.base}/manifests")
+        return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json"))
+
+    def _manifest_path(self, number: int) -> str:
+        return f"{self.base}/manifests/{number:010d}.json"
+
+    def manifest(self, number: int | None = None) -> Manifest:
+        """The published state of that number, or the latest."""
+        if number is None:
+            number = max(self._numbers())
+        return Manifest(**json.loads(read_text(self.spark, self._manifest_path(number))))
+
+    def _publish(self, manifest: Manifest) -> bool:
+        text = json.dumps(asdict(manifest))
+        return create_text(self.spark, self._manifest_path(manifest.number), text)
+
     def exists(self) -> bool:
-        """Whether any date is published (a dynamic overwrite leaves no success marker)."""
-        return any_match(self.spark, f"{self.path}/event_date=*")
-
-    def _schema(self) -> StructType | None:
-        """The schema as stored now: another writer may have added columns."""
-        if not path_exists(self.spark, self._meta_path):
-            return None
-        stored = _load_json(self.spark, self._meta_path)["schema"]
-        return StructType.fromJson(json.loads(stored)) if stored else None
-
-    def _add_columns(self, batch: DataFrame) -> StructType:
-        """Store the batch's columns that the table does not have yet."""
-        schema = self._schema() or StructType()
-        fields = [f for f in batch.schema if f.name not in schema.names]
-        if fields:
-            for field in fields:
-                schema = schema.add(field.name, field.dataType)
-            meta = {**asdict(self.meta), "schema": schema.json()}
-            _save_json(self.spark, self._meta_path, meta)
-        return schema
-
-    def _dated(self, spark: SparkSession | None = None) -> DataFrame:
-        schema = self._schema()
-        reader = (spark or self.spark).read
-        if schema is not None:
-            reader = reader.schema(StructType(schema.fields).add("event_date", "date"))
-        return reader.parquet(self.path)
-
-    def read(self, window: TimeRange | None = None) -> DataFrame:
-        """All columns; a time range also prunes the date partitions."""
-        rows = self._dated()
-        if window is not None:
-            # Dates end with the year 9999.
-            first, last = (
-                F.date_from_unix_date(F.lit(max(-719_162, min(2_932_896, ms // DAY_MS))))
-                for ms in (window.start_ms, window.end_ms)
-            )
-            rows = rows.filter(F.col("event_date").between(first, last))
+        """Whether any date is published."""
+        return bool(self.manifest().dates)
+
+    def versions(self) -> DataFrame:
+        """A row per published state that is still there: number, batch and its dates."""
+        rows = [(m.number, m.batch, len(m.dates)) for m in map(self.manifest, self._numbers())]
+        return self.spark.createDataFrame(rows, "number long, batch string, dates long")
+
+    def _folders(
+        self,
+        manifest: Manifest,
+        kind: str,
+        schema: StructType,
+        dates: list[str],
+        spark: SparkSession | None = None,
+    ) -> DataFrame:
+        """Rows of some dates of a published state, with ``event_date``."""
+        spark = spark or self.spark
+        schema = StructType([*schema.fields, StructField("event_date", DateType())])
+        if not dates:
+            return spark.createDataFrame([], schema)
+        paths = [
+            f"{self.base}/{kind}/event_date={d}/_publish={manifest.dates[d]}" for d in sorted(dates)
+        ]
+        base = f"{self.base}/{kind}"
+        return spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("_publish")
+
+    def _between(self, manifest: Manifest, window: TimeRange | None) -> list[str]:
+        if window is None:
+            return list(manifest.dates)
+        first, last = _date_of(window.start_ms), _date_of(window.end_ms)
+        return [d for d in manifest.dates if first <= _key(d) <= last]
+
+    def read(self, window: TimeRange | None = None, number: int | None = None) -> DataFrame:
+        """All columns, of the latest or an older published state; a time range reads its dates."""
+        manifest = self.manifest(number)
+        dates = self._between(manifest, window)
+        rows = self._folders(manifest, "data", manifest.columns, dates)
+        if window is not None and manifest.schema:
+            rows = rows.filter(F.col("event_date").between(*_bounds(window)))
             rows = rows.filter(window.contains(self.meta.event_time))
         return rows.drop("event_date")
 
+    def _summary_schema(self, columns: StructType) -> StructType:
+        counts = StructType([StructField(c, LongType()) for c in columns.names])
+        keys = [columns[k] for k in self.meta.primary_key if k != self.meta.event_time]
+        return StructType([*keys, StructField(ROWS, LongType()), StructField(COUNTS, counts),
+                           StructField(LAST, columns)])
+
+    def summary(self, window: TimeRange | None = None, number: int | None = None) -> DataFrame:
+        """A row per key and date: rows, values by column, and the last row of the date."""
+        manifest = self.manifest(number)
+        schema = self._summary_schema(manifest.columns)
+        return self._folders(manifest, "summary", schema, self._between(manifest, window))
+
+    def read_with_past(self, window: TimeRange, reach_ms: int | None = None) -> DataFrame:
+        """Rows of a range, and of each key the last row before the range's first date.
+
+        The past comes from the summary: a row per key and date at most, of dates within ``reach_ms``.
+        Rows of the first date before the range are included.
+        """
+        first = _date_of(window.start_ms) * DAY_MS
+        rows = self.read(TimeRange(first, window.end_ms))
+        low = -(2**62) if reach_ms is None else window.start_ms - reach_ms
+        past = self.summary(TimeRange(low, first - 1)).filter(F.col("event_date") < _as_date(first))
+        keys = [k for k in self.meta.primary_key if k != self.meta.event_time]
+        latest = F.max_by(LAST, "event_date").alias(LAST)
+        return rows.unionByName(past.groupBy(*keys).agg(latest).select(f"{LAST}.*"))
+
     def upsert(
         self,
         batch: DataFrame,
@@ -137,59 +202,97 @@ class FeatureTable:
         batch.
         """
         spark = batch.sparkSession
-        done, stage = f"{self.base}/done/{batch_id}", f"{self.base}/stage/{batch_id}"
+        done = f"{self.base}/done/{batch_id}"
         if path_exists(spark, done):
-            remove(spark, stage)
             return
-        if not path_exists(spark, f"{stage}/_SUCCESS"):
-            self._stage(spark, batch, stage, order_by or [], leave_out or [])
-        staged = spark.read.parquet(stage)
-        if staged.limit(1).count():
-            (
-                # Dates go to few tasks, and AQE splits a date that is too large for one.
-                staged.hint("rebalance", "event_date")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("event_date")
-                .parquet(self.path)
-            )
-        _save_json(spark, done, {"batch": str(batch_id)})
-        remove(spark, stage)
+        current = self.manifest()
+        if current.batch != str(batch_id):
+            self._write(spark, batch, str(batch_id), current, order_by or [], leave_out or [])
+        # Only the latest manifest's batch can lack its mark.
+        create_text(spark, done, str(batch_id))
 
-    def _stage(
+    def _write(
         self,
         spark: SparkSession,
         batch: DataFrame,
-        stage: str,
+        batch_id: str,
+        current: Manifest,
         order_by: list[str],
-        leave_out: list[str] = (),
+        leave_out: list[str],
     ) -> None:
+        number = current.number + 1
+        folder = f"{number:010d}-{uuid.uuid4().hex[:12]}"
+        content = batch.drop(*leave_out)
+        schema = current.columns
+        for field in content.schema:
+            if field.name not in schema.names:
+                schema = schema.add(field.name, field.dataType)
+        latest = self._merged(spark, batch, content.columns, schema, current, order_by)
+        rows = latest.withColumn("_publish", F.lit(folder))
+        (
+            # Dates go to few tasks, and AQE splits a date that is too large for one.
+            rows.hint("rebalance", "event_date")
+            .write.mode("append")
+            .partitionBy("event_date", "_publish")
+            .parquet(f"{self.base}/data")
+        )
+        dates = {
+            d: folder
+            for d in self._parts(f"{self.base}/data", "event_date=")
+            if path_exists(spark, f"{self.base}/data/event_date={d}/_publish={folder}")
+        }
+        manifest = Manifest(
+            number, current.meta, schema.json(), batch_id, {**current.dates, **dates}
+        )
+        self._summarise(spark, manifest, list(dates), folder)
+        if not self._publish(manifest):
+            raise PublishConflict(f"{self.meta.name}: version {number} is there already")
+
+    def _summarise(
+        self, spark: SparkSession, manifest: Manifest, dates: list[str], folder: str
+    ) -> None:
+        columns = manifest.columns.names
+        keys = [k for k in self.meta.primary_key if k != self.meta.event_time]
+        rows = self._folders(manifest, "data", manifest.columns, dates, spark)
+        summary = rows.groupBy(*keys, "event_date").agg(
+            F.count(F.lit(1)).alias(ROWS),
+            F.struct(*[F.count(c).alias(c) for c in columns]).alias(COUNTS),
+            F.max_by(F.struct(*columns), self.meta.event_time).alias(LAST),
+        )
+        summary = summary.withColumn("_publish", F.lit(folder)).hint("rebalance", "event_date")
+        parts = ["event_date", "_publish"]
+        summary.write.mode("append").partitionBy(*parts).parquet(f"{self.base}/summary")
+
+    def _merged(
+        self,
+        spark: SparkSession,
+        batch: DataFrame,
+        names: list[str],
+        schema: StructType,
+        current: Manifest,
+        order_by: list[str],
+    ) -> DataFrame:
+        """New content of the dates that the batch touches."""
         time_column = F.col(self.meta.event_time)
         missing = F.raise_error(F.lit(f"{self.meta.name}: a row has no {self.meta.event_time}"))
         date = F.when(time_column.isNull(), missing.cast("date")).otherwise(
             utc_date(self.meta.event_time)
         )
-        content = batch.drop(*leave_out)
-        merge = self.exists()
-        schema = self._add_columns(content)
-        cast = {c: F.col(c).cast(schema[c].dataType) for c in content.columns}
+        merge = bool(current.dates)
+        cast = {c: F.col(c).cast(schema[c].dataType) for c in names}
         incoming = batch.withColumns(cast).withColumn("event_date", date)
         rows = incoming.withColumn("_new", F.lit(1))
-        scratch = None
         if merge:
             # Read twice below: its dates first, then its rows.  Written once, so that neither
             # a source nor a stateful step runs again, also when executors are lost.
-            scratch = scratch_path(spark, "batch")
-            incoming.write.parquet(scratch)
-            incoming = spark.read.schema(incoming.schema).parquet(scratch)
-            touched = incoming.select("event_date").distinct()
-            low, high = touched.agg(F.min("event_date"), F.max("event_date")).first()
-            stored = self._dated(spark).filter(F.col("event_date").between(low, high))
-            stored = stored.join(touched, "event_date", "left_semi")
+            incoming = materialise(incoming, "batch")
+            touched = incoming.select(F.col("event_date").cast("string")).distinct().collect()
+            dates = [d[0] for d in touched if d[0] in current.dates]
+            stored = self._folders(current, "data", schema, dates, spark)
             rows = incoming.withColumn("_new", F.lit(1)).unionByName(
                 stored.withColumn("_new", F.lit(0)), allowMissingColumns=True
             )
-        given = [c for c in content.columns if c not in self.keys]
+        given = [c for c in names if c not in self.keys]
         absent = [c for c in schema.names if c not in self.keys and c not in given]
         # Without an order column the row itself decides, so that a replay gives the same.
         rank = F.struct("_new", *order_by, F.xxhash64("event_date", *given))
@@ -202,9 +305,48 @@ class FeatureTable:
         latest = latest.select(*self.keys, *parts)
         for name in absent if not merge else ():
             latest = latest.withColumn(name, F.lit(None).cast(schema[name].dataType))
-        latest.select(*schema.names, "event_date").write.mode("overwrite").parquet(stage)
-        if scratch:
-            remove(spark, scratch)
+        return latest.select(*schema.names, "event_date")
+
+    def _parts(self, path: str, label: str) -> list[str]:
+        names = list_names(self.spark, path)
+        return [n.removeprefix(label) for n in names if n.startswith(label)]
+
+    def expire(self, keep: int = 1) -> int:
+        """Forget all but the last ``keep`` states and delete folders that none of these names.
+
+        Run it while nobody writes.  Returns the number of deleted folders.
+        """
+        numbers = self._numbers()
+        kept = [self.manifest(n) for n in numbers[-keep:]]
+        named = {(d, folder) for m in kept for d, folder in m.dates.items()}
+        for number in numbers[1:-keep]:
+            remove(self.spark, self._manifest_path(number))
+        deleted = 0
+        for kind in ("data", "summary"):
+            for date in self._parts(f"{self.base}/{kind}", "event_date="):
+                path = f"{self.base}/{kind}/event_date={date}"
+                for folder in self._parts(path, "_publish="):
+                    if (date, folder) not in named:
+                        remove(self.spark, f"{path}/_publish={folder}")
+                        deleted += 1
+        return deleted
+
+
+def _date_of(ms: int) -> int:
+    """Day number of an instant; dates end with the year 9999."""
+    return max(-719_162, min(2_932_896, ms // DAY_MS))
+
+
+def _as_date(ms: int) -> Column:
+    return F.date_from_unix_date(F.lit(_date_of(ms)))
+
+
+def _bounds(window: TimeRange) -> tuple[Column, Column]:
+    return _as_date(window.start_ms), _as_date(window.end_ms)
+
+
+def _key(date: str) -> int:
+    return (datetime.date.fromisoformat(date) - datetime.date(1970, 1, 1)).days
 
 
 @dataclass(frozen=True)
@@ -244,24 +386,19 @@ class FeatureStore:
 
     def get_or_create_view(self, meta: ViewMeta) -> ViewMeta:
         path = f"{self._views}/{meta.name}_v{meta.version}"
-        if path_exists(self.spark, path):
-            return ViewMeta(**_load_json(self.spark, path))
-        _save_json(self.spark, path, asdict(meta))
-        return meta
+        create_text(self.spark, path, json.dumps(asdict(meta)))
+        return ViewMeta(**json.loads(read_text(self.spark, path)))
 
     def read_view(self, meta: ViewMeta, window: TimeRange | None = None) -> DataFrame:
-        """Lazy; the range prunes the left table, the right side keeps its past for the join."""
+        """Lazy; a range reads its dates of both tables and the right table's summary before."""
         left = self.table(meta.left, meta.left_version)
         right = self.table(meta.right, meta.right_version)
-        past = None
-        if window is not None:
-            # Without a tolerance the whole past counts, before 1970 as well.
-            low = -(2**62) if meta.tolerance_ms is None else window.start_ms - meta.tolerance_ms
-            past = TimeRange(low, window.end_ms)
+        if window is None:
+            known = right.read()
+        else:
+            known = right.read_with_past(window, meta.tolerance_ms)
         series = Series(left.meta.primary_key[0], left.meta.event_time)
-        return joins.asof_join(
-            left.read(window), right.read(past), series, meta.prefix, meta.tolerance_ms
-        )
+        return joins.asof_join(left.read(window), known, series, meta.prefix, meta.tolerance_ms)
 
 
 class Ledger:

@@ -3,7 +3,7 @@
 import pytest
 
 from loadcast.operators.ranges import TimeRange
-from loadcast.session import path_exists
+from loadcast.store import tables
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
 from tests.helpers import HOUR, START, demand_frame, series
 
@@ -41,18 +41,123 @@ def test_late_correction_leaves_other_rows(spark, folder):
     assert _content(table) == want
 
 
-def test_a_done_batch_is_skipped_and_a_finished_stage_is_reused(spark, folder):
+def test_a_done_batch_is_skipped(spark, folder):
     table = _table(spark, folder)
     table.upsert(demand_frame(spark, [("a", START, 1)]), "0")
     table.upsert(demand_frame(spark, [("a", START, 99)]), "0")
     assert _content(table) == {("a", START): 1}
 
-    # A crash after staging: the replay publishes the stage, not a second computation.
-    table._stage(spark, demand_frame(spark, [("a", START, 2)]), f"{table.base}/stage/1", [])
-    table.upsert(demand_frame(spark, [("a", START, 77)]), "1")
-    assert _content(table) == {("a", START): 2}
-    assert path_exists(spark, f"{table.base}/done/1")
-    assert not path_exists(spark, f"{table.base}/stage/1")
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_merged", "_summarise", "_publish", "mark"])
+def test_a_crash_between_any_two_steps(spark, folder, monkeypatch, step):
+    """The last version stays as it is; the replay has one effect, before and after the publish."""
+    table = _table(spark, folder)
+    table.upsert(demand_frame(spark, [("a", START, 1), ("b", START, 5)]), "0")
+
+    def crash(*args, **kwargs):
+        raise Crash
+
+    with monkeypatch.context() as broken:
+        if step == "mark":
+            create = tables.create_text
+            broken.setattr(
+                tables, "create_text", lambda s, p, t: crash() if "/done/" in p else create(s, p, t)
+            )
+        else:
+            broken.setattr(FeatureTable, step, crash)
+        with pytest.raises(Crash):
+            table.upsert(demand_frame(spark, [("a", START, 2), ("c", START + 50 * HOUR, 6)]), "1")
+    published = step == "mark"
+    after = {("a", START): 2, ("b", START): 5, ("c", START + 50 * HOUR): 6}
+    assert _content(table) == (after if published else {("a", START): 1, ("b", START): 5})
+    again = FeatureTable.get(spark, folder, "demand", 1)
+    # A replay after the publish is skipped, so its content doesn't count.
+    value = 77 if published else 2
+    again.upsert(demand_frame(spark, [("a", START, value), ("c", START + 50 * HOUR, 6)]), "1")
+    assert _content(table) == after
+    assert again.manifest().number == 2
+
+
+def test_a_reader_keeps_its_version_during_a_publish(spark, folder):
+    table = _table(spark, folder)
+    rows = series("a", 60)
+    table.upsert(demand_frame(spark, rows), "0")
+    reading = table.read()
+    table.upsert(demand_frame(spark, [(r, t, -v) for r, t, v in rows]), "1")
+    assert {(r["timestamp_ms"], r["demand"]) for r in reading.collect()} == {(t, v) for _, t, v in rows}
+    assert {r["demand"] for r in table.read().collect()} == {-v for _, _, v in rows}
+    assert {r["demand"] for r in table.read(number=1).collect()} == {v for _, _, v in rows}
+    assert [tuple(r) for r in table.versions().orderBy("number").collect()] == [
+        (0, None, 0), (1, "0", 3), (2, "1", 3),
+    ]
+
+
+def test_of_two_writers_one_publishes(spark, folder, monkeypatch):
+    table = _table(spark, folder)
+    table.upsert(demand_frame(spark, [("a", START, 1)]), "0")
+    other = FeatureTable.get(spark, folder, "demand", 1)
+    stale = table.manifest()
+    other.upsert(demand_frame(spark, [("b", START, 2)]), "other")
+    monkeypatch.setattr(table, "manifest", lambda number=None: stale)
+    with pytest.raises(tables.PublishConflict):
+        table.upsert(demand_frame(spark, [("c", START, 3)]), "mine")
+    monkeypatch.undo()
+    table.upsert(demand_frame(spark, [("c", START, 3)]), "mine")
+    assert _content(table) == {("a", START): 1, ("b", START): 2, ("c", START): 3}
+
+
+def test_expired_versions_free_their_folders(spark, folder):
+    table = _table(spark, folder)
+    table.upsert(demand_frame(spark, series("a", 48)), "0")
+    table.upsert(demand_frame(spark, [("a", START, 1)]), "1")
+    assert table.expire(keep=2) == 0
+    assert table.expire() == 2  # the first date's data and summary
+    assert table.read().count() == 48 and table.manifest().number == 2
+    assert FeatureTable.get(spark, folder, "demand", 1).keys == ["region", "timestamp_ms"]
+
+
+def test_summary_follows_upserts(spark, folder):
+    table = _table(spark, folder)
+    rows = series("a", 30) + [("b", START, None)]
+    table.upsert(demand_frame(spark, rows), "0")
+    table.upsert(demand_frame(spark, [("a", START + 23 * HOUR, None), ("b", START + HOUR, 4)]), "1")
+    got = {
+        (r["region"], str(r["event_date"])): (r["_rows"], r["_counts"]["demand"], r["_last"]["demand"])
+        for r in table.summary().collect()
+    }
+    assert got == {
+        ("a", "2024-01-01"): (24, 23, None),
+        ("a", "2024-01-02"): (6, 6, rows[29][2]),
+        ("b", "2024-01-01"): (2, 1, 4),
+    }
+
+
+def test_a_view_range_reads_its_own_dates_and_the_summary(spark, folder):
+    left, right = _table(spark, folder), _table(spark, folder, "weather")
+    rows = series("a", 24 * 20) + series("b", 24 * 20, seed=2)
+    left.upsert(demand_frame(spark, rows), "0")
+    # Of a: every 50th hour; of b: the first day only.
+    kept = [r for k, r in enumerate(rows[: 24 * 20]) if k % 50 == 0] + rows[24 * 20 : 24 * 21]
+    right.upsert(demand_frame(spark, kept), "0")
+    store = FeatureStore(spark, folder)
+    window = TimeRange(START + 250 * HOUR + 1, START + 300 * HOUR)
+    for tolerance in (None, 30 * HOUR):
+        view = ViewMeta(f"v{tolerance}", 1, "demand", 1, "weather", 1, "w_", tolerance)
+        found = store.read_view(store.get_or_create_view(view), window)
+        for row in found.collect():
+            past = [
+                (t, v) for r, t, v in kept
+                if r == row["region"] and t <= row["timestamp_ms"]
+                and (tolerance is None or t >= row["timestamp_ms"] - tolerance)
+            ]
+            want = max(past) if past else (None, None)
+            assert (row["w_timestamp_ms"], row["w_demand"]) == want
+        files = {f.split("event_date=")[1][:10] for f in found.inputFiles() if "/data/" in f}
+        assert files == {"2024-01-11", "2024-01-12", "2024-01-13"}
 
 
 def test_narrower_and_wider_batches_keep_all_columns(spark, folder):
