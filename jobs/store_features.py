@@ -24,7 +24,7 @@ def feature_schema():
     kinds = {"hour_category": "string", "hour_category_num": "integer", "is_holiday": "integer"}
     for name in CALENDAR_COLUMNS:
         schema = schema.add(name, kinds.get(name, "double"))
-    return schema.add("revision", "long")
+    return schema.add("revision", "long").add("late", "boolean")
 
 
 def main() -> None:

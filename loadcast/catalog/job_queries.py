@@ -32,6 +32,7 @@ from loadcast.session import materialise, scratch_path, stream_session
 from loadcast.sources import exports, payloads, topics
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
 from loadcast.streaming import jobs
+from loadcast.streaming.state import REACH
 
 S = i.SERIES
 STATE_PARTITIONS = 8
@@ -174,7 +175,8 @@ def _write_messages(frame, path, days, corrected=False):
     """Three writes to a topic of four partitions, oldest first.
 
     ``corrected``: every seventh hour is sent one write too late, every eleventh with a wrong
-    value before its right one, and every fifth a second time at the end.
+    value before its right one, every fifth a second time at the end, and every 31st is wrong
+    until the end.
     """
     first, second = (MIDDLE_MS + d * DAY_MS for d in days)
     ms, hour = F.col("timestamp_ms"), F.floor(F.col("timestamp_ms") / HOUR_MS)
@@ -186,7 +188,9 @@ def _write_messages(frame, path, days, corrected=False):
         sent = frame.withColumn("_piece", late)
         wrong = frame.where(hour % 11 == 0).withColumn("demand", F.col("demand") + 1000)
         wrong = wrong.where((hour % 7 == 0) & (F.col("_piece") < 2))
-        again = frame.where(hour % 5 == 0).withColumn("_piece", F.lit(3))
+        again = frame.where((hour % 5 == 0) | (hour % 31 == 0)).withColumn("_piece", F.lit(3))
+        falsely = F.when(hour % 31 == 0, F.col("demand") * 2 + 1).otherwise(F.col("demand"))
+        sent = sent.withColumn("demand", falsely)
         sent = sent.unionByName(wrong).unionByName(again)
     sent = materialise(sent, "messages")
     for k in range(4 if corrected else 3):
@@ -202,7 +206,9 @@ def _feature_table(spark, sf_dir, corrected):
     options = {"path": f"{root}/topic", "maxFilesPerTrigger": str(PARTITIONS)}
     messages = topics.read_topic(spark, options, kind="files")
     table = FeatureTable.get_or_create(spark, root, "features", 1, "region", "timestamp_ms")
-    query_ = jobs.to_table(jobs.feature_stream(messages), table, f"{root}/checkpoint", "run")
+    # A short reach, so that some corrections are older than the state.
+    stream = jobs.feature_stream(messages, reach=48 if corrected else REACH)
+    query_ = jobs.to_table(stream, table, f"{root}/checkpoint", "run")
     query_.awaitTermination()
     names = [*DEMAND_RECORD.names, *ROLLING_COLUMNS, *CALENDAR_COLUMNS]
     return query_, table.read().select(*names)

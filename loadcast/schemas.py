@@ -140,17 +140,6 @@ REGISTRY_RECORD = (
     )
 )
 
-# What the streaming feature job keeps: a region's latest rows in time order.
-ROLLING_STATE = (
-    T.StructType()
-    .add("ts", T.ArrayType(T.LongType()))
-    .add("demand", T.ArrayType(T.DoubleType()))
-    .add("rest", T.ArrayType(T.StringType()))
-    .add("arrival", T.ArrayType(T.StringType()))
-    .add("cut", "boolean")
-    .add("revision", "long")
-)
-
 
 def with_rolling(schema: T.StructType) -> T.StructType:
     out = T.StructType(list(schema.fields))

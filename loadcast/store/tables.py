@@ -163,6 +163,12 @@ class FeatureTable:
             rows = rows.filter(window.contains(self.meta.event_time))
         return rows.drop("event_date")
 
+    def read_dates(self, dates: list[str], number: int | None = None) -> DataFrame:
+        """All columns and ``event_date`` of the dates that are there."""
+        manifest = self.manifest(number)
+        there = [d for d in dates if d in manifest.dates]
+        return self._folders(manifest, "data", manifest.columns, there)
+
     def _summary_schema(self, columns: StructType) -> StructType:
         counts = StructType([StructField(c, LongType()) for c in columns.names])
         keys = [columns[k] for k in self.meta.primary_key if k != self.meta.event_time]

@@ -10,25 +10,28 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loadcast.functions.time import with_calendar
 from loadcast.operators.reshape import known_types, typed_records
-from loadcast.schemas import DEMAND_RECORD, with_rolling
+from loadcast.schemas import DEMAND_RECORD, ROLLING_COLUMNS, with_rolling
+from loadcast.session import materialise
 from loadcast.sources.payloads import explode_in_order
 from loadcast.sources.topics import decode, encode
 from loadcast.store.tables import FeatureTable
-from loadcast.streaming.state import LatestReadingProcessor, RollingProcessor
+from loadcast.streaming.repair import repair_features
+from loadcast.streaming.state import REACH, LatestReadingProcessor, RollingProcessor
 
 LIVE_INTERVAL = "10 minutes"
 
 
-def feature_stream(messages: DataFrame) -> DataFrame:
+def feature_stream(messages: DataFrame, reach: int = REACH) -> DataFrame:
     """Demand messages to feature rows: keyed state first, then the stateless calendar.
 
     ``revision`` orders the rows of an hour: a late message makes later hours appear again.
+    Rows older than ``reach`` rows are marked ``late`` and have no features; ``to_table`` repairs.
     """
     readings = decode(messages, DEMAND_RECORD, "arrival").drop("event_time")
     readings = readings.where("region IS NOT NULL AND timestamp_ms IS NOT NULL")
     rolled = readings.groupBy("region").transformWithStateInPandas(
-        statefulProcessor=RollingProcessor(),
-        outputStructType=with_rolling(DEMAND_RECORD).add("revision", "long"),
+        statefulProcessor=RollingProcessor(reach),
+        outputStructType=with_rolling(DEMAND_RECORD).add("revision", "long").add("late", "boolean"),
         outputMode="Append",
         timeMode="None",
     )
@@ -90,13 +93,31 @@ def to_table(
 
     Of several rows for a key the highest ``revision``, else the last to arrive, wins; both
     columns stay out of the table.  A failed write is tried again after a delay.
+
+    Rows marked ``late`` are stored without their features, and the features of the rows
+    behind them are computed again from the stored table.  Each step has its own batch id, so a replay
+    goes on where it stopped.
     """
     order = [c for c in ("revision", "arrival") if c in stream.columns]
 
+    def store(batch: DataFrame, name: str) -> None:
+        if "late" not in batch.columns:
+            table.upsert(batch, name, order_by=order, leave_out=order)
+            return
+        batch = materialise(batch, "stream-batch")
+        late = batch.where("late")
+        if late.isEmpty():
+            table.upsert(batch, name, order_by=order, leave_out=[*order, "late"])
+            return
+        table.upsert(batch.where("NOT late"), name, order_by=order, leave_out=[*order, "late"])
+        bare = late.drop(*ROLLING_COLUMNS)
+        table.upsert(bare, f"{name}-late", order_by=order, leave_out=[*order, "late"])
+        repair_features(table, late, f"{name}-repair")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         for attempt in range(retries + 1):
             try:
-                table.upsert(batch, f"{run_id}-{batch_id}", order_by=order, leave_out=order)
+                store(batch, f"{run_id}-{batch_id}")
                 return
             except Exception:
                 if attempt == retries:

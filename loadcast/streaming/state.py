@@ -7,26 +7,29 @@ change what is stored in the end, as every row carries its order of arrival.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from loadcast.functions.time import DAY_MS
 from loadcast.schemas import (
     DEMAND_RECORD,
     LAGS,
     METRICS,
     ROLLING_COLUMNS,
-    ROLLING_STATE,
     ROLLING_WINDOWS,
 )
 
 HISTORY = max(*ROLLING_WINDOWS, *(n + 1 for n in LAGS))
 REACH = 720
 BLOCK = 4096
-REST = ("human_read_period", "forecast", "ti", "ng")
+HOUR_VALUES = ("demand", "human_read_period", "forecast", "ti", "ng", "arrival")
+DAY_STATE = (
+    "timestamp_ms array<long>, demand array<double>, human_read_period array<string>, "
+    "forecast array<long>, ti array<long>, ng array<long>, arrival array<string>"
+)
 
 
 def _block(series: np.ndarray, start: int) -> dict[str, np.ndarray]:
@@ -61,67 +64,62 @@ def rolling_features(past: np.ndarray, new: np.ndarray) -> dict[str, np.ndarray]
 class RollingProcessor(StatefulProcessor):
     """Rolling and lag features of each row, right for any order of arrival.
 
-    The state holds a region's latest rows in time order with their arrival, ``HISTORY`` rows
-    more than the ``REACH`` rows that may still change.  Of several rows for an hour the one
+    The state maps the days of a region's latest rows to their hours, values and arrival: ``HISTORY``
+    rows more than the ``reach`` rows whose features it can compute, and the rest of the oldest
+    day.  A micro-batch writes the days it changes and removes those that fall out.  Of several rows for an hour the one
     that arrived last counts, in whatever order batches bring them.  A late or corrected hour is
     inserted, and the rows behind it whose features it changes are emitted again under a higher
     ``revision``.  Rows without demand pass with NULL features and are no part of the series.
-    Rows older than the reach pass with NULL features and change nothing.
+
+    Rows older than the reach are emitted as ``late``, without features: the sink stores them and
+    computes the features behind them from the stored table (``streaming.repair``).
     """
 
+    def __init__(self, reach: int = REACH) -> None:
+        self._reach = reach
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("rolling", ROLLING_STATE)
+        self._days = handle.getMapState("days", "day long", DAY_STATE)
+        self._mark = handle.getValueState("mark", "cut boolean, revision long")
 
-    def _stored(self) -> tuple[pd.DataFrame, bool, int]:
-        names = ["timestamp_ms", "demand", "rest", "arrival"]
-        if not self._state.exists():
-            return pd.DataFrame({n: [] for n in names}), False, 0
-        ts, demand, rest, arrival, cut, revision = self._state.get()
-        return pd.DataFrame(dict(zip(names, (ts, demand, rest, arrival), strict=True))), cut, revision
+    def _stored(self) -> pd.DataFrame:
+        found = [row for _, lists in self._days.iterator() for row in zip(*lists, strict=True)]
+        return _typed(pd.DataFrame(found, columns=["timestamp_ms", *HOUR_VALUES]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values):
         # The rate limit of the source bounds the micro-batch.
-        batch = pd.concat(list(rows), ignore_index=True)
-        known, cut, revision = self._stored()
-        rest = [
-            json.dumps([None if pd.isna(x) else x if isinstance(x, str) else int(x) for x in r])
-            for r in batch[list(REST)].itertuples(index=False)
-        ]
-        fresh = pd.DataFrame(
-            {
-                "timestamp_ms": batch["timestamp_ms"].astype("int64"),
-                "demand": batch["demand"].astype(float),
-                "rest": rest,
-                "arrival": batch["arrival"],
-            }
-        )
-        fresh = fresh.sort_values(["arrival", "rest"], kind="stable")
-        fresh = fresh.drop_duplicates("timestamp_ms", keep="last")
-        stored = known.set_index("timestamp_ms")["arrival"]
-        before = fresh["timestamp_ms"].map(stored)
+        batch = _typed(pd.concat(list(rows), ignore_index=True)[["timestamp_ms", *HOUR_VALUES]])
+        known = self._stored().sort_values("timestamp_ms", ignore_index=True)
+        cut, revision = self._mark.get() if self._mark.exists() else (False, 0)
+        ties = ["arrival", *(c for c in HOUR_VALUES if c != "arrival")]
+        fresh = batch.sort_values(ties, kind="stable").drop_duplicates("timestamp_ms", keep="last")
+        before = fresh["timestamp_ms"].map(known.set_index("timestamp_ms")["arrival"])
         fresh = fresh[before.isna() | (fresh["arrival"] > before.fillna(""))]
-        late = fresh.iloc[:0]
+        is_late = pd.Series(False, fresh.index)
         if cut:
-            horizon = known.loc[known["demand"].notna(), "timestamp_ms"].iloc[HISTORY - 1]
-            late = fresh[fresh["timestamp_ms"] <= horizon]
-            fresh = fresh[fresh["timestamp_ms"] > horizon]
-        rows_now = pd.concat(
-            [known[~known["timestamp_ms"].isin(fresh["timestamp_ms"])].assign(new=False), fresh.assign(new=True)]
-            if len(known)
-            else [fresh.assign(new=True)],
-            ignore_index=True,
-        ).sort_values("timestamp_ms", ignore_index=True)
+            # Without the rows that have left, features are whole from the ``HISTORY``-th row on.
+            whole = known.loc[known["demand"].notna(), "timestamp_ms"]
+            horizon = whole.iloc[min(HISTORY, len(whole)) - 1]
+            is_late = fresh["timestamp_ms"] <= horizon
+        late = fresh[is_late]
+        kept = fresh[fresh["timestamp_ms"] >= known["timestamp_ms"].iloc[0]] if cut else fresh
+        new = kept["timestamp_ms"][~is_late[kept.index]]
+        rows_now = pd.concat([known[~known["timestamp_ms"].isin(kept["timestamp_ms"])], kept])
+        rows_now = rows_now.sort_values("timestamp_ms", ignore_index=True)
+        is_new = rows_now["timestamp_ms"].isin(new).to_numpy()
+        changed = rows_now["timestamp_ms"].isin(kept["timestamp_ms"]).to_numpy()
         present = rows_now["demand"].notna().to_numpy()
         # Place in the series of each row, or of the next one for rows outside it.
         place = np.cumsum(present) - present
-        new = rows_now["new"].to_numpy(bool)
         values = rows_now.loc[present, "demand"].to_numpy(float)
         touched = np.zeros(len(values) + HISTORY + 1, np.int64)
-        np.add.at(touched, place[new], 1)
+        np.add.at(touched, place[changed], 1)
         sums = np.concatenate([[0], np.cumsum(touched)])
         at = np.arange(len(values))
         affected = sums[at + 1] - sums[np.maximum(at - HISTORY, 0)] > 0
-        emitted = new.copy()
+        if cut:
+            affected &= rows_now.loc[present, "timestamp_ms"].to_numpy() > horizon
+        emitted = is_new.copy()
         emitted[np.flatnonzero(present)[affected]] = True
         features = pd.DataFrame(index=rows_now.index, columns=list(ROLLING_COLUMNS), dtype=float)
         if affected.any():
@@ -130,51 +128,53 @@ class RollingProcessor(StatefulProcessor):
             index = np.flatnonzero(present)[first:]
             for name, column in found.items():
                 features.loc[index, name] = column
-        self._keep(rows_now, present, cut, revision + 1)
+        self._keep(known, rows_now, present, changed, cut, revision + 1)
         out = pd.concat([rows_now[emitted], late], ignore_index=True)
         more = pd.concat([features[emitted], features.iloc[:0].reindex(late.index)], ignore_index=True)
-        yield self._wide(key[0], out, more, revision + 1)
-
-    def _keep(self, rows: pd.DataFrame, present: np.ndarray, cut: bool, revision: int) -> None:
-        keep = HISTORY + REACH
+        out = pd.concat([out, more], axis=1)
+        out["late"] = np.arange(len(out)) >= int(emitted.sum())
+        out["region"], out["revision"] = key[0], revision + 1
+        out["demand"] = out["demand"].astype("Int64")
+        yield out[[*DEMAND_RECORD.names, *ROLLING_COLUMNS, "revision", "late"]]
+
+    def _keep(
+        self,
+        known: pd.DataFrame,
+        rows: pd.DataFrame,
+        present: np.ndarray,
+        changed: np.ndarray,
+        cut: bool,
+        revision: int,
+    ) -> None:
+        keep = HISTORY + self._reach
         where = np.flatnonzero(present)
         start = int(where[-keep]) if len(where) > keep else 0
         # Rows without demand do not pile up where demand stays away.
         start = max(start, len(rows) - 4 * keep)
-        left = rows.iloc[start:]
-        enough = left["demand"].notna().sum() > HISTORY
-        self._state.update(
-            (
-                left["timestamp_ms"].astype("int64").tolist(),
-                [None if pd.isna(x) else float(x) for x in left["demand"]],
-                left["rest"].tolist(),
-                left["arrival"].tolist(),
-                bool((cut or start > 0) and enough),
-                revision,
-            )
-        )
-
-    @staticmethod
-    def _wide(region: str, rows: pd.DataFrame, features: pd.DataFrame, revision: int) -> pd.DataFrame:
-        rest = pd.DataFrame([json.loads(x) for x in rows["rest"]], columns=list(REST))
-        whole = {n: rest[n].astype("Int64") for n in REST[1:]}
-        out = pd.DataFrame(
-            {
-                "timestamp_ms": rows["timestamp_ms"].astype("int64"),
-                "human_read_period": rest["human_read_period"],
-                "region": region,
-                "demand": rows["demand"].astype("Int64"),
-                **whole,
-                "revision": revision,
-            }
-        )
-        out = pd.concat([out, features], axis=1)
-        return out[[*DEMAND_RECORD.names, *ROLLING_COLUMNS, "revision"]]
+        if present[start:].sum() <= HISTORY:
+            start = 0
+        # Whole days leave.
+        day = rows["timestamp_ms"] // DAY_MS
+        first = int(day.iloc[start])
+        left = rows[day >= first]
+        for number, part in left.groupby(day):
+            if changed[part.index].any():
+                lists = [[None if pd.isna(x) else x for x in part[c]] for c in left.columns]
+                self._days.updateValue((int(number),), tuple(lists))
+        for number in set(known["timestamp_ms"] // DAY_MS):
+            if number < first:
+                self._days.removeKey((int(number),))
+        self._mark.update((bool(cut or first > day.iloc[0]), revision))
 
     def close(self) -> None:
         pass
 
 
+def _typed(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.astype({"timestamp_ms": "int64", "demand": float})
+    return rows.astype({name: "Int64" for name in ("forecast", "ti", "ng")})
+
+
 class LatestReadingProcessor(StatefulProcessor):
     """Emit a region's newest merged reading when it differs from the one emitted last.
 

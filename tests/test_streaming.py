@@ -88,22 +88,23 @@ def test_late_shuffled_and_repeated_hours_give_the_batch_features(spark, folder)
     assert_features(table.read().collect(), expected_rolling(rows), ROLLING_COLUMNS)
 
 
-def test_hours_beyond_the_reach_pass_without_features(spark, folder, monkeypatch):
-    spark = stream_session(spark, 4)
-    monkeypatch.setattr("loadcast.streaming.state.REACH", 30)
-    rows = series("a", 300)
-    old = [("a", START - 9 * HOUR, 5)]
-    for part in (rows, old):
-        topics.write_topic(_records(spark, part), {"path": f"{folder}/topic"}, kind="files")
-    state = RollingProcessor()
-    state._state = _Memory()
-    frames = [_frame(part, k) for k, part in enumerate((rows, old))]
-    list(state.handleInputRows(("a",), iter(frames[:1]), None))
-    out = next(iter(state.handleInputRows(("a",), iter(frames[1:]), None)))
-    assert len(out) == 1 and out["mean_3"].isna().all() and out["demand"].iloc[0] == 5
+class _Days(dict):
+    """Map state in memory that counts what is written."""
+
+    writes = 0
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self[key] = value
 
+    def removeKey(self, key):
+        del self[key]
 
-class _Memory:
+
+class _Mark:
     value = None
 
     def exists(self):
@@ -116,6 +117,73 @@ class _Memory:
         self.value = value
 
 
+def _processor(reach):
+    state = RollingProcessor(reach)
+    state._days, state._mark = _Days(), _Mark()
+    return state
+
+
+def _send(state, rows, n):
+    return next(iter(state.handleInputRows(("a",), iter([_frame(rows, n)]), None)))
+
+
+def test_hours_beyond_the_reach_are_marked():
+    state, rows = _processor(30), series("a", 300)
+    assert not _send(state, rows, 0)["late"].any()
+    out = _send(state, [("a", START - 9 * HOUR, 5)], 1)
+    assert len(out) == 1 and out["late"].all() and out["mean_3"].isna().all()
+    assert out["demand"].iloc[0] == 5
+    # In the state, but without all of its history: marked as well, and rows in reach follow it.
+    oldest = min(lists[0][0] for lists in state._days.values())
+    place = (oldest - START) // HOUR + 5
+    out = _send(state, [("a", rows[place][1], 7_000)], 2)
+    assert out["late"].sum() == 1 and out.loc[out["late"], "demand"].iloc[0] == 7_000
+    fixed = [*rows[:place], ("a", rows[place][1], 7_000), *rows[place + 1 :]]
+    want = expected_rolling(fixed)
+    right = out[~out["late"]]
+    assert len(right)
+    assert_features(
+        right.to_dict("records"), {("a", t): want["a", t] for t in right["timestamp_ms"]}, ROLLING_COLUMNS
+    )
+
+
+def test_a_batch_writes_the_days_it_changes():
+    state, rows = _processor(100), series("a", 900)
+    _send(state, rows[:800], 0)
+    held = sum(len(lists[0]) for lists in state._days.values())
+    assert HISTORY + 100 <= held < HISTORY + 124
+    state._days.writes = 0
+    _send(state, [*rows[800:805], ("a", rows[780][1], 3)], 1)
+    assert state._days.writes == 2
+
+
+@pytest.mark.parametrize("reach", [40])
+def test_corrections_older_than_the_state_give_the_batch_features(spark, folder, reach):
+    """Old hours are corrected, added and emptied, alone and together with new ones."""
+    spark = stream_session(spark, 4)
+    rows = series("a", 700, gap=0.02) + series("b", 400)
+    wrong = [(r, t, 9 * v if k in (30, 200, 500) else v) for k, (r, t, v) in enumerate(rows)]
+    added = [("a", START - 50 * HOUR, 123), ("b", START - 2 * HOUR, 77)]
+    emptied = [("a", rows[350][1], None), ("b", rows[1000][1], None)]
+    parts = [
+        wrong[:600] + wrong[700:], wrong[600:700], [rows[30], added[0]],
+        [rows[200], rows[500], emptied[0], ("a", rows[699][1] + HOUR, 55)], [added[1], emptied[1]],
+    ]
+    options = {"path": f"{folder}/topic", "maxFilesPerTrigger": "1"}
+    table = FeatureTable.get_or_create(spark, folder, "f", 1, "region")
+    for part in parts:
+        topics.write_topic(_records(spark, part).coalesce(1), {"path": f"{folder}/topic"}, kind="files")
+    stream = jobs.feature_stream(topics.read_topic(spark, options, kind="files"), reach)
+    jobs.to_table(stream, table, f"{folder}/checkpoint", "run").awaitTermination()
+    gone = {(r, t) for r, t, _ in emptied}
+    whole = [r for r in rows if (r[0], r[1]) not in gone] + added + [("a", rows[699][1] + HOUR, 55)]
+    stored = table.read()
+    assert_features(stored.where("demand IS NOT NULL").collect(), expected_rolling(whole), ROLLING_COLUMNS)
+    empty = stored.where("demand IS NULL").collect()
+    assert {(r["region"], r["timestamp_ms"]) for r in empty} == gone
+    assert all(r[c] is None for r in empty for c in ROLLING_COLUMNS)
+
+
 def _frame(rows, n):
     return pd.DataFrame(
         [(t, f"p{t}", r, v, None, None, None, f"{n:05d}|{k:05d}") for k, (r, t, v) in enumerate(rows)],
