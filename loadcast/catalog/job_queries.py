@@ -33,6 +33,7 @@ from loadcast.sources import exports, payloads, topics
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
 from loadcast.streaming import jobs
 from loadcast.streaming.state import REACH
+from loadcast.streaming.watch import TapLedger, run_until_idle
 
 S = i.SERIES
 STATE_PARTITIONS = 8
@@ -247,18 +248,25 @@ def stream_features_late(spark, sf_dir):
     "WITH " + i.MERGED + "SELECT count(*) AS messages, max(timestamp_ms) AS newest_ms FROM merged",
 )
 def stream_tap(spark, sf_dir):
-    """What a listener of the tapped stream sees: all messages, and the newest event time."""
+    """What the ledger of taps has of a live stream: all messages, and the newest event time."""
     spark = stream_session(spark, STATE_PARTITIONS)
     root = scratch_path(spark, "tap")
     _write_messages(i.merged(spark, sf_dir), f"{root}/topic", (-5, 5))
     options = {"path": f"{root}/topic", "maxFilesPerTrigger": str(PARTITIONS)}
     messages = topics.decode(topics.read_topic(spark, options, kind="files"), DEMAND_RECORD)
     tapped = jobs.observed(messages.drop("event_time"), "tap")
-    query_ = jobs.to_topic(tapped, {"path": f"{root}/out"}, f"{root}/checkpoint", kind="files")
-    query_.awaitTermination()
-    # One row per micro-batch.
-    seen = spark.createDataFrame(jobs.tapped(query_, "tap"), "rows long, newest_ms long")
-    return seen.agg(F.sum("rows").alias("messages"), F.max("newest_ms").alias("newest_ms"))
+    ledger = TapLedger(spark, root)
+    spark.streams.addListener(ledger)
+    try:
+        # Polled like a live job, and stopped when nothing more comes.
+        query_ = jobs.to_topic(
+            tapped, {"path": f"{root}/out"}, f"{root}/checkpoint", kind="files", live="1 second"
+        )
+        run_until_idle(query_, ledger, idle_s=6.0, check_s=1.0)
+    finally:
+        spark.streams.removeListener(ledger)
+    values = ledger.taps().where("tap = 'tap'").select("values.rows", "values.newest_ms")
+    return values.agg(F.sum("rows").alias("messages"), F.max("newest_ms").alias("newest_ms"))
 
 
 @query(

@@ -54,15 +54,20 @@ def live_readings(payloads: DataFrame) -> DataFrame:
     )
 
 
-def _start(writer, checkpoint: str, live: bool) -> StreamingQuery:
-    """Live jobs poll; historical ones process what is there and stop by themselves."""
+def _start(writer, checkpoint: str, live: bool | str) -> StreamingQuery:
+    """Live jobs poll (a text is the interval); others process what is there and stop by themselves."""
     writer = writer.option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": LIVE_INTERVAL} if live else {"availableNow": True}
+    interval = live if isinstance(live, str) else LIVE_INTERVAL
+    trigger = {"processingTime": interval} if live else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
 
 def to_topic(
-    stream: DataFrame, options: dict[str, str], checkpoint: str, kind: str = "kafka", live: bool = False
+    stream: DataFrame,
+    options: dict[str, str],
+    checkpoint: str,
+    kind: str = "kafka",
+    live: bool | str = False,
 ) -> StreamingQuery:
     writer = encode(stream)
     if kind != "kafka" and "revision" in stream.columns:
@@ -85,7 +90,7 @@ def to_table(
     table: FeatureTable,
     checkpoint: str,
     run_id: str,
-    live: bool = False,
+    live: bool | str = False,
     retries: int = 3,
     delay_s: float = 30.0,
 ) -> StreamingQuery:
@@ -139,9 +144,3 @@ def observed(stream: DataFrame, name: str) -> DataFrame:
     return stream.observe(
         name, F.count(F.lit(1)).alias("rows"), F.max("timestamp_ms").alias("newest_ms")
     )
-
-
-def tapped(query: StreamingQuery, name: str) -> list[tuple]:
-    """What the tap ``name`` saw in each micro-batch with rows, oldest first."""
-    seen = [p["observedMetrics"].get(name) for p in query.recentProgress]
-    return [(x["rows"], x["newest_ms"]) for x in seen if x is not None and x["rows"]]

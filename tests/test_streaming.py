@@ -13,6 +13,7 @@ from loadcast.sources import topics
 from loadcast.store.tables import FeatureTable
 from loadcast.streaming import jobs
 from loadcast.streaming.state import HISTORY, RollingProcessor, rolling_features
+from loadcast.streaming.watch import TapLedger, run_until_idle
 from tests.helpers import HOUR, START, assert_features, expected_rolling, series
 
 
@@ -210,6 +211,31 @@ def test_a_failed_write_is_tried_again(spark, folder):
     assert len(calls) == 3 and table.read().count() == 5
 
 
+def test_taps_of_more_batches_than_spark_remembers(spark, folder, tmp_path):
+    """Small files as micro-batches of a live query, which stops when nothing more comes."""
+    spark = stream_session(spark, 1)
+    rows = series("a", 104)
+    (tmp_path / "topic").mkdir()
+    for k, (region, ts, demand) in enumerate(rows):
+        value = json.dumps({"timestamp_ms": ts, "region": region, "demand": demand})
+        message = {"key": region, "value": value, "offset": 0}
+        (tmp_path / "topic" / f"{k:03d}.json").write_text(json.dumps(message))
+    options = {"path": f"{folder}/topic", "maxFilesPerTrigger": "1"}
+    messages = topics.decode(topics.read_topic(spark, options, kind="files"), DEMAND_RECORD)
+    ledger = TapLedger(spark, folder)
+    spark.streams.addListener(ledger)
+    try:
+        writer = jobs.observed(messages, "tap").writeStream.format("noop")
+        query = jobs._start(writer, f"{folder}/checkpoint", live="100 milliseconds")
+        run_until_idle(query, ledger, idle_s=8.0, check_s=0.5)
+        assert not query.isActive
+    finally:
+        spark.streams.removeListener(ledger)
+    taps = ledger.taps().select("batch", "values.rows", "values.newest_ms").collect()
+    assert [r["rows"] for r in taps] == [1] * 104 and len({r["batch"] for r in taps}) == 104
+    assert max(r["newest_ms"] for r in taps) == rows[-1][1]
+
+
 def _poll(folder, n, *records):
     data = [{"period": p, "respondent": "CAL", "type": t, "value": v} for p, t, v in records]
     with open(f"{folder}/payloads/{n}.json", "w") as out:
