@@ -26,6 +26,7 @@ from loadcast.operators import (
     weather,
 )
 from loadcast.plans import features
+from loadcast.operators.series import Series
 from loadcast.schemas import ROLLING_COLUMNS, WEATHER_MEASURES
 from loadcast.session import materialise
 
@@ -86,6 +87,22 @@ def last_n_per_key(spark, sf_dir):
     return quality.last_n(i.hourly(spark, sf_dir), S, 168)
 
 
+@query(
+    "last_5000_per_key",
+    """SELECT l_returnflag, l_orderkey, l_linenumber, ship_ms FROM (
+      SELECT *, row_number() OVER (
+               PARTITION BY l_returnflag ORDER BY ship_ms DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+      FROM (SELECT *, epoch_ms(CAST(l_shipdate AS TIMESTAMP)) AS ship_ms FROM lineitem))
+    WHERE rn <= 5000""",
+)
+def last_5000_per_key(spark, sf_dir):
+    """More rows than the planner limits by itself; a third of all rows and more share a key."""
+    lines = i.table(spark, sf_dir, "lineitem")
+    ship = F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ship_ms")
+    lines = lines.select("l_returnflag", "l_orderkey", "l_linenumber", ship)
+    return quality.last_n(lines, Series("l_returnflag", "ship_ms"), 5_000, ["l_orderkey", "l_linenumber"])
+
+
 @query(
     "tail_120",
     "WITH " + i.TRIPLES + f"""
@@ -229,7 +246,7 @@ def semver_sort(spark, sf_dir):
     """Semantic order of versions: a range-partitioned sort, whatever a model's share."""
     versions = i.registry_versions(spark, sf_dir).withColumn("key", version_key(F.col("version")))
     release = [
-        F.coalesce(F.try_element_at("key.release", F.lit(n)), F.lit(0)).alias(part)
+        F.coalesce(F.try_element_at("key.release", F.lit(n)), F.lit(0)).cast("int").alias(part)
         for n, part in enumerate(("major", "minor", "patch"), 1)
     ]
     ordered = versions.orderBy("region", "name", F.desc("key"))

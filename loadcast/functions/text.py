@@ -27,15 +27,15 @@ def message(columns: list[Column]) -> Column:
 def version_key(version: Column) -> Column:
     """Sortable key of ``1.2.3`` or ``1.2.3rc1``: release numbers, final after pre-release.
 
-    Release parts compare as numbers, however many there are; trailing zeros do not count, so
+    Release parts compare as numbers of up to 38 digits, however many there are; trailing zeros do not count, so
     ``1.2`` equals ``1.2.0``.
     """
     release = F.regexp_extract(version, r"^v?(\d+(?:\.\d+)*)", 1)
     suffix = F.regexp_replace(version, r"^v?\d+(?:\.\d+)*[-.]?", "")
     significant = F.regexp_replace(release, r"(?:\.0+)+$", "")
-    parts = F.transform(F.split(significant, r"\."), lambda x: x.try_cast("int"))
+    parts = F.transform(F.split(significant, r"\."), lambda x: x.try_cast("decimal(38,0)"))
     stage = F.regexp_extract(suffix, r"^([a-z]+)", 1)
-    number = F.coalesce(F.regexp_extract(suffix, r"(\d+)$", 1).try_cast("int"), F.lit(0))
+    number = F.coalesce(F.regexp_extract(suffix, r"(\d+)$", 1).try_cast("decimal(38,0)"), F.lit(0))
     return F.struct(
         parts.alias("release"),
         F.when(suffix == "", 1).otherwise(0).alias("is_final"),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadcast.functions import numbers
 from loadcast.operators.quality import drop_incomplete
-
+from loadcast.session import materialise
 
 ACCURACY = 100_000
 
@@ -114,13 +114,61 @@ def standardize(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return df.join(stats, key).withColumns(scaled).select(*df.columns)
 
 
+def exact_quantiles(
+    df: DataFrame, group: list[str], value: str, fractions: list[float], accuracy: int = ACCURACY
+) -> DataFrame:
+    """(group, n, cuts): the value at rank ceil(p n) for each fraction p, exact for any n.
+
+    A sketch gives each group's quantiles, and for each a value surely at or below it and one surely at
+    or above it.  In groups of up to ``accuracy`` rows the sketch is exact.  Where there are larger
+    ones, a second pass counts the rows below each such interval and the distinct values inside
+    it (about 4 n / accuracy of them), and the rank picks among these.  ``df`` is read up to three times.
+    """
+    m, margin = len(fractions), 2 / accuracy
+    ends = [max(0.0, p - margin) for p in fractions] + [min(1.0, p + margin) for p in fractions]
+    at = F.array(*[F.lit(p) for p in [*fractions, *ends]])
+    # A few numbers for each group.
+    sketch = df.groupBy(*group).agg(
+        F.count(value).alias("n"), F.percentile_approx(value, at, accuracy).alias("_at")
+    )
+    sketch = materialise(sketch, "quantiles")
+    if (sketch.agg(F.max("n")).first()[0] or 0) <= accuracy:
+        return sketch.select(*group, "n", F.slice("_at", 1, m).alias("cuts"))
+    bounds = sketch.select(
+        *group, "n", F.slice("_at", m + 1, m).alias("_low"), F.slice("_at", 2 * m + 1, m).alias("_high")
+    )
+    rows = df.select(*group, F.col(value).alias("_x")).where("_x IS NOT NULL").join(bounds, group)
+    below = rows.groupBy(*group, "n").agg(
+        F.array(*[F.count_if(F.col("_x") < F.col("_low")[k]) for k in range(m)]).alias("_below")
+    )
+    inside = F.filter(
+        F.sequence(F.lit(0), F.lit(m - 1)),
+        lambda k: (F.get("_low", k) <= F.col("_x")) & (F.col("_x") <= F.get("_high", k)),
+    )
+    values = rows.select(*group, "_x", F.explode(inside).alias("_k"))
+    values = values.groupBy(*group, "_k", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    so_far = Window.partitionBy(*group, "_k").orderBy("_x")
+    values = values.withColumn("_sum", F.sum("_c").over(so_far)).join(below, group)
+    wanted = F.ceil(F.get(F.array(*[F.lit(p) for p in fractions]), "_k") * F.col("n"))
+    reached = values.where(F.get("_below", "_k") + F.col("_sum") >= F.greatest(wanted, F.lit(1)))
+    found = reached.groupBy(*group, "n", "_k").agg(F.min("_x").alias("_x"))
+    ordered = F.sort_array(F.collect_list(F.struct("_k", "_x")))  # one entry for each fraction
+    cuts = F.transform(ordered, lambda e: e["_x"])
+    return found.groupBy(*group, "n").agg(cuts.alias("cuts"))
+
+
 def mutual_information(
-    df: DataFrame, key: str, features: list[str], target: str, bins: int = 16
+    df: DataFrame,
+    key: str,
+    features: list[str],
+    target: str,
+    bins: int = 16,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Mutual information of each feature with the target over quantile bins, per key.
 
-    Cut points are quantiles of each key and feature (an outlier does not empty the other bins),
-    exact up to ``ACCURACY`` rows and within ``1 / ACCURACY`` of the rank beyond.  The joint
+    Cut points are exact quantiles of each key and feature (an outlier does not empty the other
+    bins); ``accuracy`` sets the work of finding them, not the result.  The joint
     counts have at most ``bins * bins`` cells per key and feature, so nothing grows with the rows.
     The score does not change under scaling of the features.
     """
@@ -138,11 +186,12 @@ def mutual_information(
         .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     )
     group = [key, "feature"]
-    at = F.array(*[F.lit(k / bins) for k in range(1, bins)])
-    bounds = long.groupBy(*group).agg(
-        F.percentile_approx("x", at, ACCURACY).alias("xs"),
-        F.percentile_approx("y", at, ACCURACY).alias("ys"),
+    at = [k / bins for k in range(1, bins)]
+    xs, ys = (
+        exact_quantiles(long, group, v, at, accuracy).select(*group, F.col("cuts").alias(f"{v}s"))
+        for v in ("x", "y")
     )
+    bounds = xs.join(ys, group)
 
     def bin_of(value: str, cuts: str) -> Column:
         return F.size(F.filter(cuts, lambda cut: cut < F.col(value)))

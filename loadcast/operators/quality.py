@@ -147,16 +147,34 @@ def dedupe_latest(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return best.select(*keys, "_row.*").select(*df.columns)
 
 
+GROUP_LIMIT = 1_000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+
+
 def last_n(df: DataFrame, s: Series, n: int, ties: list[str] | None = None) -> DataFrame:
-    """The latest ``n`` rows of each series.
+    """The latest ``n`` rows of each series, for any ``n``; rows without time come last.
 
-    Up to Spark's group-limit threshold (1,000 rows by default) the planner turns the rank filter
-    into a limit on both sides of the shuffle, and a task sends at most ``n`` rows per key; raise
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` for a larger ``n``.
+    Two plans with the same rows.  Up to Spark's group-limit threshold the planner turns the rank
+    filter into a limit on both sides of the shuffle, and a task sends at most ``n`` rows per key.
+    Beyond, the counts of chunks, summed from the newest one backwards, tell which chunks are in,
+    and only rows within a chunk are ranked: no task sees a whole series.
     """
     order = [F.col(s.ts).desc(), *[F.col(c).desc() for c in ties or []]]
-    w = Window.partitionBy(s.key).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(f"_rank <= {int(n)}").drop("_rank")
+    if n <= GROUP_LIMIT:
+        w = Window.partitionBy(s.key).orderBy(*order)
+        ranked = df.withColumn("_rank", F.row_number().over(w))
+        return ranked.filter(f"_rank <= {int(n)}").drop("_rank")
+    chunk = F.coalesce(s.chunk, F.lit(-(2**62)))
+    counts = df.groupBy(F.col(s.key).alias("_key"), chunk.alias("_at"))
+    counts = counts.agg(F.count(F.lit(1)).alias("_count"))
+    newer = Window.partitionBy("_key").orderBy(F.desc("_at"))
+    newer = newer.rowsBetween(Window.unboundedPreceding, -1)
+    room = F.lit(n) - F.coalesce(F.sum("_count").over(newer), F.lit(0))
+    kept = counts.select("_key", "_at", room.alias("_room")).filter("_room > 0")
+    rows = df.withColumn("_chunk", chunk)
+    same = F.col(s.key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_at"))
+    w = Window.partitionBy(s.key, "_chunk").orderBy(*order)
+    ranked = rows.join(kept, same).withColumn("_rank", F.row_number().over(w))
+    return ranked.filter("_rank <= _room").select(*df.columns)
 
 
 def latest_row(df: DataFrame, key: str, ts: str) -> DataFrame:

@@ -139,10 +139,12 @@ def test_r2_of_constant_actuals(spark, pairs, r2):
 
 def test_version_order(spark):
     versions = ["1.2.0", "1.10.0", "1.9.3", "1.10.0rc1", "2.0.0-rc2", "2.0.0-rc10", "1.10", "0.9"]
+    versions += ["20241201120000", "20241130235959.1"]
     df = spark.createDataFrame([(v,) for v in versions], "v string")
     key = text.version_key(F.col("v"))
     got = [r[0] for r in df.orderBy(key.desc(), "v").collect()]
     assert got == [
+        "20241201120000", "20241130235959.1",
         "2.0.0-rc10", "2.0.0-rc2", "1.10", "1.10.0", "1.10.0rc1", "1.9.3", "1.2.0", "0.9",
     ]
 

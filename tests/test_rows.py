@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,6 +167,35 @@ def test_standardize_and_constant_columns(spark):
     assert got == [(-1.0, 0.0), (1.0, 0.0)]
 
 
+@pytest.mark.parametrize("accuracy", [20, 50, 100_000])
+def test_exact_quantiles_whatever_the_accuracy(spark, accuracy):
+    draw = random.Random(4)
+    rows = [("a", draw.gauss(0, 1)) for _ in range(4000)] + [("b", float(k // 300)) for k in range(2000)]
+    rows += [("c", 1.5), ("d", -2.0), ("d", 7.0), (None, 3.0), ("a", None), ("e", None)]
+    rows += [("f", float(draw.randrange(3))) for _ in range(700)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    fractions = [0.0, 1 / 16, 0.25, 0.5, 0.7, 15 / 16, 1.0]
+    got = evaluate.exact_quantiles(df.where("x IS NOT NULL"), ["g"], "x", fractions, accuracy)
+    found = {r["g"]: r["cuts"] for r in got.where("g IS NOT NULL").collect()}
+    for g in "abcdf":
+        values = sorted(x for k, x in rows if k == g and x is not None)
+        want = [values[max(1, math.ceil(p * len(values))) - 1] for p in fractions]
+        assert found[g] == want, g
+    assert set(found) == set("abcdf")
+
+
+def test_mutual_information_does_not_depend_on_the_accuracy(spark):
+    draw = random.Random(9)
+    rows = [("a", float(k % 97), draw.random(), float(k % 97) + draw.random()) for k in range(1500)]
+    df = spark.createDataFrame(rows, "region string, x double, z double, y double")
+    found = [
+        {r["feature"]: round(r["importance"], 9) for r in evaluate.mutual_information(
+            df, "region", ["x", "z"], "y", accuracy=a).collect()}
+        for a in (30, 100_000)
+    ]
+    assert found[0] == found[1] and found[0]["x"] > found[0]["z"]
+
+
 def test_mutual_information_ranks_the_related_feature_first(spark):
     df = spark.range(0, 4000).select(
         F.lit("a").alias("region"),

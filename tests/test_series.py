@@ -155,6 +155,21 @@ def test_folds_are_ordered_and_disjoint(spark, n, k=4):
         assert mine["validate"] == list(range(start, start + part))
 
 
+@pytest.mark.parametrize("n", [1_001, 1_500, 5_000])
+def test_last_n_beyond_the_group_limit(spark, n):
+    rows = series("a", 2600, gap=0.1) + series("b", 1200) + series("c", 3)
+    rows += [("b", START, k) for k in range(400)] + [(None, START, 1), ("c", None, 2)]
+    latest = quality.last_n(demand_frame(spark, rows), Series(), n, ["demand"])
+    want = []
+    for key in ("a", "b", "c", None):
+        part = [r for r in rows if r[0] == key]
+        want += sorted(part, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))[-n:]
+    got = [tuple(r) for r in latest.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert "[region#" not in "".join(x for x in plan.splitlines() if "row_number" in x and "_chunk" not in x)
+
+
 def test_last_n_limits_before_the_shuffle(spark):
     rows = series("a", 400) + series("b", 3)
     latest = quality.last_n(demand_frame(spark, rows), Series(), 168)
