@@ -125,15 +125,18 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     out = files.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        files.getUri(), spark._jsc.hadoopConfiguration()
-    )
     keep = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            files.getUri(), spark._jsc.hadoopConfiguration()
+        )
         context.rename(draft, target, keep)
     except Py4JJavaError as error:
+        told = str(error.java_exception)
+        if "UnsupportedFileSystem" in told and files.rename(draft, target):
+            return True
         files.delete(draft, False)
-        if "FileAlreadyExists" in str(error.java_exception):
+        if "FileAlreadyExists" in told or "UnsupportedFileSystem" in told:
             return False
         raise
     return True
