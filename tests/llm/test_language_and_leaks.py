@@ -169,6 +169,46 @@ def test_no_copy_is_lost_in_a_large_benchmark(spark):
         assert set(brute) <= set(got[k])
 
 
+def test_bag_bound_never_loses_a_confirmed_item():
+    draw = np.random.default_rng(5)
+    marks = np.zeros(31, bool)
+    hits = 0
+    for _ in range(400):
+        item = draw.integers(0, 30, draw.integers(8, 40))
+        near = item[draw.random(len(item)) < draw.uniform(0.4, 1)]
+        near = np.insert(near, draw.integers(0, len(near) + 1, 5), draw.integers(-1, 30, 5))
+        if confirmed(item, near):
+            hits += 1
+            assert decontamination.enough_words(item, near, marks)
+        assert not marks.any()
+    assert hits > 50
+
+
+def test_running_sums():
+    for n in (0, 1, 15, 16, 17, 32, 1000):
+        rows = np.arange(3.0 * n).reshape(n, 3)
+        want = np.concatenate([np.zeros((1, 3)), np.cumsum(rows, axis=0)])
+        assert np.allclose(decontamination._running_sums(rows), want)
+
+
+def test_leaks_of_a_long_text_in_parts(spark, monkeypatch):
+    """Copies at every place of a text that is searched in many parts, one of them on each cut."""
+    monkeypatch.setattr(decontamination, "STREAM", 100)
+    items = [[f"w{k}x{j}" for j in range(20)] for k in range(40)]
+    known = decontamination.read_items([(k, " ".join(x)) for k, x in enumerate(items)])
+    order = np.arange(40)
+    spaces = []
+    for group in (order[:20], order[20:]):
+        axes = np.zeros((len(decontamination._vocabulary(known, group)), 1))
+        spaces.append(decontamination.place_items(known, np.ones(800), group, axes))
+    for shift in range(0, 120, 7):
+        words = ["other"] * shift
+        for item in items:
+            words += [*item, *["other"] * 13]
+        found = decontamination.leaks([known.code(" ".join(words)), known.code("")], known, spaces)
+        assert found == [{k: 1.0 for k in range(40)}, {}]
+
+
 def test_fold_keeps_letters_and_digits():
     assert fold("Ab-C1 é!!\x85x") == [b"ab", b"c1", "é".encode(), "\x85x".encode()]
 
