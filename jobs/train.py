@@ -30,6 +30,8 @@ def main() -> None:
     p.add_argument("--weather", default="weather")
     p.add_argument("--days-back", type=int, default=365)
     p.add_argument("--search-trials", type=int, default=0)
+    p.add_argument("--search-parallel", type=int, default=2, help="candidates fitted at a time")
+    p.add_argument("--search-limit-s", type=float, help="seconds after which a candidate is given up")
     p.add_argument("--max-iter", type=int, default=boosted.Params.maxIter)
     p.add_argument("--n-splits", type=int, default=4)
     p.add_argument("--status", choices=["Development", "Staging", "Production"], default="Development")
@@ -48,11 +50,20 @@ def main() -> None:
     )
     split = materialise(features.training_split(view, series), "split")
     params = boosted.Params(maxIter=args.max_iter)
-    options = training.TrainingOptions(args.search_trials, args.n_splits, args.status, params)
+    options = training.TrainingOptions(
+        args.search_trials,
+        args.n_splits,
+        args.status,
+        params,
+        search_parallel=args.search_parallel,
+        search_limit_s=args.search_limit_s,
+    )
     ledger.log_parameters(args.run_id, vars(args))
     training.log_shapes(split, ledger, args.run_id)
     failures: dict[str, str] = {}
-    errors, models = training.train_regions(split, wanted, series, options, failures)
+    searches: dict = {}
+    errors, models = training.train_regions(split, wanted, series, options, failures, searches)
+    training.log_searches(searches, ledger, args.run_id)
     if args.debug_path:
         write_csv(split, f"{args.debug_path}/rows")
         if models:

@@ -30,6 +30,7 @@ from loadcast.schemas import (
 )
 from loadcast.session import materialise, scratch_path, stream_session
 from loadcast.sources import exports, payloads, topics
+from loadcast.store.rejects import RejectTable
 from loadcast.store.tables import FeatureStore, FeatureTable, Ledger, ViewMeta
 from loadcast.streaming import jobs
 from loadcast.streaming.state import REACH
@@ -298,6 +299,68 @@ def stream_readings(spark, sf_dir):
     return topics.decode(sent, DEMAND_RECORD).drop("event_time")
 
 
+# Some periods, regions, types and values are made unusable; some values are missing.
+FAULTY = i.RAW + """, faulty AS (
+      SELECT CASE WHEN seq % 97 = 0 THEN replace(period, 'T', ' ') ELSE period END AS period,
+             CASE WHEN seq % 89 = 0 THEN 'elsewhere' ELSE respondent END AS respondent, type,
+             CASE WHEN seq % 83 = 0 THEN NULL ELSE value END AS value, seq FROM raw),
+    judged AS (
+      SELECT *, CASE WHEN seq % 97 = 0 THEN 'bad period'
+                     WHEN type NOT IN ('D', 'DF', 'TI', 'NG') THEN 'unknown type'
+                     WHEN seq % 89 = 0 THEN 'unknown region'
+                     WHEN value IS NOT NULL AND TRY_CAST(value AS BIGINT) IS NULL
+                     THEN 'bad number' END AS reason FROM faulty)"""
+
+
+def _split_stream(spark, sf_dir):
+    """Raw rows polled in two runs of one checkpoint; the accepted ones go to a table."""
+    root = scratch_path(spark, "split")
+    seq = F.col("seq")
+    faulty = i.raw_long(spark, sf_dir).withColumns(
+        {
+            "period": F.when(seq % 97 == 0, F.replace("period", F.lit("T"), F.lit(" "))).otherwise(F.col("period")),
+            "respondent": F.when(seq % 89 == 0, "elsewhere").otherwise(F.col("respondent")),
+            "value": F.when(seq % 83 != 0, F.col("value")),
+        }
+    )
+    schema = faulty.schema
+    rejects = RejectTable(spark, root)
+    table = FeatureTable.get_or_create(spark, root, "readings", 1, "arrival", "timestamp_ms")
+
+    def use(rows, name):
+        table.upsert(reshape.typed_records(rows, F.col("seq").alias("arrival")), name)
+
+    for part in range(2):
+        faulty.where(seq % 2 == part).write.mode("append").json(f"{root}/polled")
+        raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", "4").json(f"{root}/polled")
+        run = jobs.split_rejects(raw, i.EVENT_ZONES, rejects, use, f"{root}/checkpoint", "run")
+        run.awaitTermination()
+    return rejects.read(schema), table.read()
+
+
+@query(
+    "rejected_rows",
+    "WITH " + FAULTY + """
+    SELECT reason, seq, period, respondent, type, value FROM judged WHERE reason IS NOT NULL""",
+)
+def rejected_rows(spark, sf_dir):
+    """Every row that a polled stream could not use, with the reason; restarted in between."""
+    return _split_stream(spark, sf_dir)[0].drop("batch")
+
+
+@query(
+    "accepted_rows",
+    "WITH " + FAULTY + """
+    SELECT epoch_ms(strptime(period, '%Y-%m-%dT%H')) AS timestamp_ms, period AS human_read_period,
+           respondent AS region, CAST(value AS BIGINT) AS electricity_demand,
+           type AS electricity_demand_type, seq AS arrival
+    FROM judged WHERE reason IS NULL""",
+)
+def accepted_rows(spark, sf_dir):
+    """The other side of the split: the stored readings."""
+    return _split_stream(spark, sf_dir)[1].drop("event_date")
+
+
 @query(
     "csv_export",
     "WITH " + i.MERGED + "SELECT timestamp_ms, region, demand, forecast, ti, ng FROM merged",

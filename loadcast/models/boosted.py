@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from loadcast.models.bounded import OK, run_bounded
 from loadcast.operators import evaluate
-from loadcast.operators.reshape import union_all
 from loadcast.operators.series import Series
 from loadcast.operators.splits import time_series_folds
 
@@ -85,24 +87,50 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def search(
-    train: DataFrame, candidates: list[Params], s: Series, n_splits: int = 4
+    train: DataFrame,
+    candidates: list[Params],
+    s: Series,
+    n_splits: int = 4,
+    parallel: int = 2,
+    limit_s: float | None = None,
 ) -> tuple[Params, DataFrame]:
     """Best candidate by mean error over expanding folds, and all fold scores.
 
-    ``train`` holds one region.  Fits run one after the other from the driver; each of them
-    is a distributed job over the fold's rows.
+    ``train`` holds one region.  ``parallel`` candidates are fitted at a time; each fit is a
+    distributed job over the fold's rows.  The scores have a ``status``: a candidate that fails or
+    takes longer than ``limit_s`` leaves one row that says so, without fold and error, and is not
+    chosen.  It is an error if no candidate is left.
     """
     folds = time_series_folds(train, s, n_splits).persist()
-    scores = []
-    for params in candidates:
+
+    def scores_of(params: Params) -> list:
+        found = []
         for fold in range(n_splits):
             rows = folds.filter(F.col("fold") == fold)
             model = fit(rows.filter("role = 'train'"), params)
             scored = predict(model, rows.filter("role = 'validate'"))
-            mae = evaluate.mae_by(scored, ["region", "fold"], "target", {params.params_id: "prediction"})
-            scores.append(mae.withColumnRenamed("model", "params_id"))
-    fold_mae = union_all(scores).persist()
-    best = evaluate.best_parameters(evaluate.cross_validation_score(fold_mae)).first()
-    folds.unpersist()
+            mae = evaluate.mae_by(scored, ["region", "fold"], "target", {"mae": "prediction"})
+            # One row: a region and a fold.  Computed here, so that it counts in the limit.
+            found += [(r["region"], r["fold"], r["mae"]) for r in mae.collect()]
+        return found
+
+    spark = train.sparkSession
+    calls = {p.params_id: partial(scores_of, p) for p in candidates}
+    try:
+        outcomes = run_bounded(spark, calls, parallel, limit_s, pool="search")
+    finally:
+        folds.unpersist()
+    good = {k: o.value for k, o in outcomes.items() if o.status == OK}
+    if not any(good.values()):
+        raise RuntimeError(f"no candidate was fitted: {[o.message for o in outcomes.values()]}")
+    region = next(rows[0][0] for rows in good.values() if rows)
+    scores = [(*row, k, OK) for k, rows in good.items() for row in rows]
+    scores += [(region, None, None, k, o.status) for k, o in outcomes.items() if k not in good]
+    schema = StructType([folds.schema["region"], folds.schema["fold"]])
+    schema = schema.add("mae", "double").add("params_id", "string").add("status", "string")
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in schema])
+    fold_mae = spark.createDataFrame(scores, nullable)
+    ranked = evaluate.cross_validation_score(fold_mae.filter(F.col("status") == OK))
+    best = evaluate.best_parameters(ranked).first()
     chosen = next(p for p in candidates if p.params_id == best["params_id"])
     return chosen, fold_mae

@@ -26,6 +26,8 @@ class TrainingOptions:
     params: boosted.Params = boosted.Params()
     space: dict | None = None
     parallel: int = 4
+    search_parallel: int = 2
+    search_limit_s: float | None = None
 
 
 def by_region(split: DataFrame) -> DataFrame:
@@ -46,12 +48,14 @@ def train_regions(
     s: Series,
     options: TrainingOptions = TrainingOptions(),
     failures: dict[str, str] | None = None,
+    searches: dict[str, DataFrame] | None = None,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every region; returns errors by (region, split, model) and the fitted models.
 
     The requested regions are a short fixed list; all row work is distributed, and a few regions
     are fitted at a time.  A region that cannot be fitted (no rows, say) does not stop the others:
     with ``failures`` its message goes there, otherwise it is raised after the others are done.
+    ``searches`` receives the scores of each region's parameter search.
     """
     rows = by_region(split)
 
@@ -61,7 +65,11 @@ def train_regions(
             params = options.params
             if options.search_trials:
                 drawn = boosted.draw_params(options.search_trials, params.seed, options.space)
-                params, _ = boosted.search(train, drawn, s, options.n_splits)
+                params, scores = boosted.search(
+                    train, drawn, s, options.n_splits, options.search_parallel, options.search_limit_s
+                )
+                if searches is not None:
+                    searches[region] = scores
             return boosted.fit(train, params)
         finally:
             train.unpersist()
@@ -137,6 +145,23 @@ def describe(split: DataFrame) -> DataFrame:
 
 
 
+def log_searches(searches: dict[str, DataFrame], ledger: Ledger, run_id: str) -> None:
+    """Mean error and status of every candidate of every region's search."""
+    if not searches:
+        return
+    outcome = union_all(list(searches.values())).groupBy("region", "params_id").agg(
+        F.max("status").alias("status"), F.avg("mae").alias("mean_mae")
+    )
+    values = {"search_status": F.col("status"), "search_mae": F.col("mean_mae").cast("string")}
+    entries = [
+        F.struct(F.concat_ws("_", F.lit(name), "params_id").alias("name"), value.alias("value"))
+        for name, value in values.items()
+    ]
+    logged = outcome.select("region", F.explode(F.array(*entries)).alias("_e"))
+    logged = logged.where("_e.value IS NOT NULL")
+    ledger.log_metrics(logged.select(F.lit(run_id).alias("run_id"), "region", "_e.*"))
+
+
 def log_shapes(split: DataFrame, ledger: Ledger, run_id: str) -> None:
     """Rows and time extent of every region and part, as parameters of the run."""
     values = {"rows": "n_rows", "first_ms": "first_ms", "last_ms": "last_ms"}

@@ -18,6 +18,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Searches run a few fits at a time; none of them shall wait for all jobs of another.
+    "spark.scheduler.mode": "FAIR",
     STATE_STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 

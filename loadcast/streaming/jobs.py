@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from loadcast.schemas import DEMAND_RECORD, ROLLING_COLUMNS, with_rolling
 from loadcast.session import materialise
 from loadcast.sources.payloads import explode_in_order
 from loadcast.sources.topics import decode, encode
+from loadcast.store.rejects import RejectTable, judged
 from loadcast.store.tables import FeatureTable
 from loadcast.streaming.repair import repair_features
 from loadcast.streaming.state import REACH, LatestReadingProcessor, RollingProcessor
@@ -132,6 +134,27 @@ def to_table(
     return _start(stream.writeStream.foreachBatch(write), checkpoint, live)
 
 
+def split_rejects(
+    raw: DataFrame,
+    regions: Iterable[str],
+    rejects: RejectTable,
+    use: Callable[[DataFrame, str], None],
+    checkpoint: str,
+    run_id: str,
+    live: bool | str = False,
+) -> StreamingQuery:
+    """Raw demand rows, each micro-batch split in one pass: ``use`` gets the accepted rows and the
+    batch's name, the others go to the reject table with their reason.
+
+    A replayed batch has the same name; it is done again only if it had not been finished.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        name = f"{run_id}-{batch_id}"
+        rejects.process(batch, name, lambda rows: use(rows, name))
+
+    return _start(judged(raw, regions).writeStream.foreachBatch(write), checkpoint, live)
+
+
 def progress(query: StreamingQuery) -> list[dict]:
     """Rows per micro-batch, newest last, of the most recent ones that Spark keeps."""
     return [

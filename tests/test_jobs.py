@@ -103,3 +103,30 @@ def test_pages_landed_with_overlap_lose_no_hour(spark, tmp_path, monkeypatch):
     sent = [json.loads(r["value"]) for r in spark.read.json(str(tmp_path / "t_r1")).collect()]
     got = {r["human_read_period"]: r["demand"] for r in sent}
     assert got == {_period(h): 100 * min(2, h // 24) + h for h in range(60)}
+
+
+def test_unusable_rows_are_kept_apart(spark, tmp_path, monkeypatch):
+    (tmp_path / "pages").mkdir()
+    data = [{"period": _period(h), "respondent": "CAL", "type": "D", "value": str(h)} for h in range(30)]
+    wrong = {3: {"type": "??"}, 5: {"period": "yesterday"}, 7: {"respondent": "XX"}, 9: {"value": "many"}}
+    for at, change in wrong.items():
+        data[at].update(change)
+    (tmp_path / "pages" / "page.json").write_text(json.dumps({"response": {"data": data}}))
+    common = ("--payloads", str(tmp_path / "pages"), "--as-of-ms", str(START + (100 + 192) * HOUR))
+    with pytest.raises(Exception, match="unknown metric type"):
+        _run(monkeypatch, "ingest_demand", "--topic", str(tmp_path / "strict"), *common)
+    for topic in ("first", "again"):  # the second run finds its rejects stored
+        _run(monkeypatch, "ingest_demand", "--topic", str(tmp_path / topic), *common,
+             "--rejects", str(tmp_path / "kept"))
+        sent = [json.loads(r["value"]) for r in spark.read.json(str(tmp_path / f"{topic}_r1")).collect()]
+        assert sorted(r["demand"] for r in sent) == [h for h in range(30) if h not in wrong]
+
+    from loadcast.store.rejects import RejectTable
+
+    schema = "period string, respondent string, type string, value string, seq string"
+    rows = RejectTable(spark, str(tmp_path / "kept")).read(spark.createDataFrame([], schema).schema)
+    assert sorted((r["batch"], r["reason"], r["value"]) for r in rows.collect()) == [
+        ("r1", "bad number", "many"), ("r1", "bad period", "5"),
+        ("r1", "unknown region", "7"), ("r1", "unknown type", "3"),
+    ]
+    assert rows.where("seq IS NULL").isEmpty()
