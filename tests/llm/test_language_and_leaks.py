@@ -279,3 +279,29 @@ def test_line_templates(spark):
     first = next(r for r in out if r["doc_id"] == 1 and r["n_lines"] > 2)
     assert "Released" in first["kept"]
     assert without_templates(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("docs_fitted", [3, 10**12])
+def test_leaks_do_not_depend_on_the_documents_of_the_fit(spark, monkeypatch, docs_fitted):
+    """The axes hold every item whole: other fit documents find the same items and shares."""
+    items = [(k, prose(5000 + k, 12 + k % 50, 900)) for k in range(80)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = []
+    for k in range(300):
+        text = prose(9000 + k, 80, 900)
+        if k % 3 == 0:
+            words = items[k % 80][1].split()
+            words[:: 4 + k % 9] = ["other"] * len(words[:: 4 + k % 9])
+            text = f"{text} {' '.join(words)} {prose(9500 + k, 30, 900)}"
+        rows.append((k, text, "en", "s", 0))
+    docs = frame(spark, rows)
+
+    def found():
+        out = find_leaks(docs, benchmark).collect()
+        return sorted((r["doc_id"], r["leaked_items"], r["leaked_share"]) for r in out)
+
+    monkeypatch.setattr(decontamination, "FIT_DOCS", 50)
+    want = found()
+    assert sum(bool(items) for _, items, _ in want) > 50
+    monkeypatch.setattr(decontamination, "FIT_DOCS", docs_fitted)
+    assert found() == want
