@@ -1,20 +1,23 @@
 """Quality rules: importance of hashed n-grams under a trusted target against the raw corpus.
 
 Words and pairs of neighbouring words are hashed into a fixed number of buckets.  Two
-multinomials are counted: the trusted target over documents labelled good and not toxic (about
-``FIT_DOCS`` of them, chosen by hash), and the raw corpus over all documents.  A document's score is the mean log-likelihood ratio of its n-grams; it is
-kept when the base rules pass, the score reaches a threshold, the same for every document, and none
-of its words is telling.
+multinomials are counted: the trusted target over all documents labelled good and not toxic, and
+the raw corpus over all documents.  A document's score is the mean log-likelihood ratio of its
+n-grams; it is kept when the base rules pass, the score reaches a threshold, the same for every
+document, and none of its words is telling.
 
-* The threshold is the score that parts best the trusted documents from those labelled bad
-  (``FIT_DOCS`` of each at most), a trusted one scored as if it were not in the target.
-* A word is telling when ``TELLING_DOCS`` untrusted documents (bad or toxic) or more have it, and
-  its share of them is ``TELLING_RATIO`` times its share of the trusted ones or more.  A few such
-  words of a long text would vanish in the mean.
+* The threshold is the score that parts best all trusted documents from all labelled bad, a trusted
+  one scored as if it were not in the target.
+* A word is telling when ``TELLING_DOCS`` untrusted documents (bad or toxic) or more have it, at
+  least ``TELLING_SHARE`` of them, and that share is ``TELLING_RATIO`` times its share of the
+  trusted ones or more.  A few such words of a long text would vanish in the mean.
 
 Counts are summed per task into one dense vector and leave it as sparse rows, so the shuffle is
-bounded by buckets times tasks.  The ratio vector has one number per bucket, whatever the corpus
-size: it is the only thing that the driver sees and sends out.
+bounded by buckets times tasks.  The driver sees and sends out the ratio vector (one number per
+bucket), the counts of ``SCORE_BINS`` bins a unit of score, and the telling words (as each is in a
+fixed share of documents, there are at most as many as a document has words, over that share):
+none grows with the corpus.  A bit map of fixed size keeps most unlabelled texts out of the join with
+the labels.
 """
 
 from __future__ import annotations
@@ -23,18 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadcast.llm.sampling import hashed_sample
 from loadcast.llm.words import encode, hash_words, mix, sequence_hashes
 from loadcast.session import materialise
 
 BUCKETS = 1 << 16
-FIT_DOCS = 20_000
 SMOOTH = 1.0
 THRESHOLD = -0.3  # without documents labelled bad
+SCORE_BINS = 512
+LABEL_BITS = 1 << 23
 TELLING_DOCS = 5
+TELLING_SHARE = 1 / 4000
 TELLING_RATIO = 30.0
 REPEAT_WIDTH = 8
 MIN_WORDS = 20
@@ -151,37 +155,59 @@ def best_threshold(judged: DataFrame, target: np.ndarray, raw: np.ndarray) -> fl
                 [pa.array(scores, pa.float64()), pa.array(good, pa.bool_())], names=["score", "good"]
             )
 
-    found = judged.select("text", "trusted").mapInArrow(run, "score double, good boolean").toArrow()
-    score, good = found["score"].to_numpy(), found["good"].to_numpy(zero_copy_only=False)
-    if not target.any() or good.all() or not good.any():
+    # Judged documents are scored once; equal scores are one row.
+    found = judged.select("text", "trusted").mapInArrow(run, "score double, good boolean")
+    found = found.groupBy("score").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
+    )
+    found = found.withColumn("bin", F.floor(F.col("score") * SCORE_BINS))
+    return _parting(materialise(found, "scores")) if target.any() else THRESHOLD
+
+
+def _parting(found: DataFrame) -> float:
+    """The threshold for ``found(score, good, bad, bin)``: prefix sums run in bins of near scores."""
+    sums = found.groupBy("bin").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    before, good, bad = [], 0, 0
+    for row in sorted(sums.collect(), key=lambda r: -r["bin"]):
+        before.append((row["bin"], good, bad))
+        good, bad = good + row["good"], bad + row["bad"]
+    if not good or not bad:
         return THRESHOLD
-    order = np.argsort(-score, kind="stable")
-    score, good = score[order], good[order].astype(bool)
+    offsets = found.sparkSession.createDataFrame(before, "bin long, good_before long, bad_before long")
+    falling = Window.partitionBy("bin").orderBy(F.desc("score"))
     # Gained and lost shares when everything down to this score is kept.
-    parted = np.cumsum(good) / good.sum() - np.cumsum(~good) / (~good).sum()
-    at = int(parted.argmax())
-    return float((score[at] + score[min(at + 1, len(score) - 1)]) / 2)
+    gained = (F.col("good_before") + F.sum("good").over(falling)) / F.lit(float(good))
+    lost = (F.col("bad_before") + F.sum("bad").over(falling)) / F.lit(float(bad))
+    parted = found.join(F.broadcast(offsets), "bin").select("score", (gained - lost).alias("parted"))
+    best = parted.orderBy(F.desc("parted"), F.desc("score")).first()["score"]
+    below = found.where(F.col("score") < best).agg(F.max("score")).first()[0]
+    return (best + (best if below is None else below)) / 2
 
 
 def telling_words(judged: DataFrame) -> np.ndarray:
     """Hashes of the words of ``judged(text, trusted)`` that trusted documents almost never have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int64)
         for batch in batches:
+            seen: dict[bool, list[np.ndarray]] = {True: [], False: []}
             for text, trusted in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 words = set(encode(text.as_py()).lower().split())
-                hashes = hash_words(list(words)).view(np.int64)
-                good = np.full(len(hashes), int(trusted))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes), pa.array(good), pa.array(1 - good)], names=["word", "good", "bad"]
-                )
+                seen[trusted].append(hash_words(list(words)).view(np.int64))
+            hashes, place = np.unique(np.concatenate([*seen[True], *seen[False], none]), return_inverse=True)
+            here = sum(map(len, seen[True]))
+            counts = [np.bincount(p, minlength=len(hashes)) for p in (place[:here], place[here:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes), *map(pa.array, counts)], names=["word", "good", "bad"]
+            )
 
     counted = judged.select("text", "trusted").mapInArrow(run, "word long, good long, bad long")
     counted = counted.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     sizes = {r["trusted"]: r["count"] for r in judged.groupBy("trusted").count().collect()}
     bad = F.col("bad") / F.lit(float(sizes.get(False, 0) or 1))
     good = (F.col("good") + 0.5) / F.lit(sizes.get(True, 0) + 1.0)
-    often = counted.where((F.col("bad") >= TELLING_DOCS) & (bad >= TELLING_RATIO * good))
+    least = max(TELLING_DOCS, TELLING_SHARE * sizes.get(False, 0))
+    often = counted.where((F.col("bad") >= least) & (bad >= TELLING_RATIO * good))
     return np.sort(often.select("word").toArrow()["word"].to_numpy())
 
 
@@ -193,6 +219,30 @@ def _tells(text: str | None, telling: np.ndarray) -> bool:
     return bool((telling[at] == words).any())
 
 
+def _perhaps_known(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """All of ``docs(doc_id, text)`` whose doc_id is in ``known``, and few others.
+
+    A bit map of ``LABEL_BITS`` hashed doc_ids tells, so that texts without a label are not shuffled.
+    """
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id IS NOT NULL")
+    slot = lambda: F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(LABEL_BITS)) + 1
+    parts = known.groupBy(F.bitmap_bucket_number(slot()).alias("part"))
+    parts = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot())).alias("bits"))
+    bits = np.zeros(LABEL_BITS // 8, np.uint8)
+    for row in parts.collect():
+        own = np.frombuffer(row["bits"], np.uint8)
+        bits[(row["part"] - 1) * len(own) : row["part"] * len(own)] = own
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False) - 1
+            marked = sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
+            yield batch.select(["doc_id", "text"]).filter(pa.array(marked.astype(bool)))
+
+    return docs.select("doc_id", "text", slot().alias("slot")).mapInArrow(run, "doc_id long, text string")
+
+
 COLUMNS = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, base_failed boolean, kept boolean, score double"
@@ -219,11 +269,9 @@ def quality_rules(
         F.max(F.coalesce(F.expr("quality = 0"), F.lit(False))).alias("bad"),
     )
     known = known.withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    # About FIT_DOCS numbers of each side, whatever the size of the corpus: no text is shuffled.
-    sides = [hashed_sample(known.where(side), FIT_DOCS, "doc_id") for side in ("trusted", "NOT trusted")]
-    chosen = F.broadcast(sides[0].unionByName(sides[1]))
-    judged = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "trusted", "bad")
-    judged = materialise(judged, "judged")
+    known = materialise(known, "labels")
+    judged = _perhaps_known(docs.select("doc_id", "text"), known).join(known.hint("merge"), "doc_id")
+    judged = materialise(judged.select("text", "trusted", "bad"), "judged")
     target, raw = _all_counts(judged.where("trusted"), buckets), _all_counts(docs, buckets)
     if threshold is None:
         threshold = best_threshold(judged.where("trusted OR bad"), target, raw)

@@ -1,16 +1,27 @@
 """Token counts, quality rules and personal data on single texts and small tables."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loadcast.llm import pii
 from loadcast.llm.pii import base_spans, personal_data
-from loadcast.llm.quality import BUCKETS, log_ratios, ngram_buckets, quality_rules
+from loadcast.llm.quality import (
+    BUCKETS,
+    THRESHOLD,
+    _parting,
+    _perhaps_known,
+    log_ratios,
+    ngram_buckets,
+    quality_rules,
+    telling_words,
+)
 from loadcast.llm.tokens import PIECE, pieces, token_counts, tokenizer_path
 from loadcast.llm.words import hash_words
 from tests.llm.samples import WORD, documents, frame
@@ -176,3 +187,54 @@ def test_labels_decide_threshold_and_telling_words(spark):
     assert not any(kept[k] for k in held_out if k % 6 in (1, 2))
     good = [kept[k] for k in held_out if k % 6 not in (1, 2)]
     assert sum(good) >= 0.95 * len(good)
+
+
+def test_all_labelled_documents_are_counted(spark):
+    """More labels a side than were once taken: the score is the ratio over every trusted document."""
+    n = 21_000
+    docs = spark.range(2 * n).selectExpr("id AS doc_id", "concat('w', id, ' v', id % 7) AS text")
+    labels = spark.range(2 * n).selectExpr("id AS doc_id", "int(id < {0}) AS quality".format(n), "0 AS toxic")
+    trusted = docs.where(F.col("doc_id") < n)
+    ratio = log_ratios(trusted, docs)
+    for row in quality_rules(docs, labels, threshold=0.0).where("doc_id % 1000 = 0").collect():
+        words = f"w{row['doc_id']} v{row['doc_id'] % 7}".encode().split()
+        assert row["score"] == pytest.approx(ratio[ngram_buckets(hash_words(words))].mean(), abs=1e-9)
+
+
+def test_threshold_parts_all_scores(spark):
+    draw = random.Random(5)
+    rows = [(draw.randrange(-900, 900) / 300, draw.random() < 0.5) for _ in range(3000)]
+    rows = [(s - 0.8 * (not good), good) for s, good in rows]
+    found = Counter(rows)
+    scores = sorted({s for s, _ in rows})
+    table = [(s, found[s, True], found[s, False], math.floor(s * 512)) for s in scores]
+    total = [sum(t[k] for t in table) for k in (1, 2)]
+    parted = [
+        sum(t[1] for t in table[k:]) / total[0] - sum(t[2] for t in table[k:]) / total[1]
+        for k in range(len(table))
+    ]
+    at = max(range(len(table)), key=lambda k: (parted[k], k))
+    want = (scores[at] + scores[max(at - 1, 0)]) / 2
+    schema = "score double, good long, bad long, bin long"
+    assert _parting(spark.createDataFrame(table, schema)) == want
+    assert _parting(spark.createDataFrame(table[:0], schema)) == THRESHOLD
+
+
+def test_words_of_all_judged_documents_can_tell(spark):
+    """A word that one in 2,000 untrusted documents has tells at any size, one in 10,000 does not."""
+    judged = spark.range(50_000).selectExpr(
+        "concat('x', IF(id % 2000 = 0, ' often', ''), IF(id % 10000 = 1, ' rare', '')) AS text",
+        "id >= 25000 AND id % 2 = 1 AS trusted",
+    )
+    told = telling_words(judged.unionByName(judged.selectExpr("'x' AS text", "true AS trusted")))
+    assert set(told) == set(hash_words([b"often"]).view(np.int64))
+
+
+def test_bit_map_keeps_every_labelled_document(spark):
+    ids = [0, -1, -(2**63), 2**63 - 1, *range(5, 40_000, 7)]
+    known = spark.createDataFrame([(k,) for k in ids], "doc_id long")
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "'x' AS text")
+    docs = docs.union(known.where("doc_id < 0 OR doc_id > 40000").selectExpr("doc_id", "'x'"))
+    docs = docs.union(spark.sql("SELECT CAST(null AS LONG), 'x'"))
+    found = [r["doc_id"] for r in _perhaps_known(docs, known).collect()]
+    assert set(ids) <= set(found) and len(found) < len(ids) + 300
