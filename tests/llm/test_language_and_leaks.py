@@ -6,7 +6,7 @@ import pytest
 from loadcast.llm import decontamination, language
 from loadcast.llm.decontamination import common_length, confirmed, find_leaks, fold
 from loadcast.llm.language import fit, identify
-from loadcast.llm.line_templates import parsed_lines, without_templates
+from loadcast.llm.line_templates import parsed_lines, template_lines, without_templates
 from tests.llm.samples import documents, frame, prose
 from pyspark.sql import functions as F
 
@@ -305,3 +305,81 @@ def test_leaks_do_not_depend_on_the_documents_of_the_fit(spark, monkeypatch, doc
     assert sum(bool(items) for _, items, _ in want) > 50
     monkeypatch.setattr(decontamination, "FIT_DOCS", docs_fitted)
     assert found() == want
+
+
+def plain_all_templates(parsed, min_docs, similar):
+    """Every template of a leaf on plain lists: lines in none that recurs go one field deeper."""
+    from collections import Counter, defaultdict
+
+    dropped = defaultdict(set)
+
+    def judge(rows, taken):
+        doc = lambda r: (r["doc_id"], r["mark"])
+        if len(set(map(doc, rows))) < min_docs:
+            return
+        size, best = len(rows[0]["fields"]), []
+        for j in range(size):
+            votes = Counter(r["fields"][j] for r in rows).most_common()
+            best.append(votes[0][0] if len(votes) == 1 or votes[0][1] > votes[1][1] else None)
+        near = lambda r: 100 * sum(a == b for a, b in zip(r["fields"], best, strict=True)) >= similar * size
+        members = [r for r in rows if near(r)]
+        if len(set(map(doc, members))) >= min_docs:
+            first = min(r["doc_id"] for r in members)
+            for r in members:
+                if r["doc_id"] > first:
+                    dropped[doc(r)].add(r["at"])
+            rows = [r for r in rows if not near(r)]
+        free = [j for j in range(size) if j not in taken]
+        holders, deeper = defaultdict(set), defaultdict(list)
+        for r in rows:
+            for j in free:
+                holders[j, r["fields"][j]].add(doc(r))
+        for r in rows:
+            if free:
+                deeper[max(((j, r["fields"][j]) for j in free), key=lambda c: (len(holders[c]), -c[0]))].append(r)
+        for (j, _), some in deeper.items():
+            judge(some, taken | {j})
+
+    leaves = defaultdict(list)
+    for row in parsed:
+        leaves[row["leaf"]].append(row)
+    for rows in leaves.values():
+        judge(rows, frozenset())
+    return dropped
+
+
+@pytest.mark.parametrize("second, gone", [(100, 198), (90, 188)])
+def test_a_leaf_holds_several_templates(spark, second, gone):
+    lines = ["Click here to read all about our new offer"] * 100
+    lines += ["Click here to see who else has joined today"] * second
+    rows = [(k, f"{letters(prose(k, 2))}\n{x}", "", "", 0) for k, x in enumerate(lines)]
+    out = without_templates(frame(spark, rows)).collect()
+    assert sum(r["n_dropped"] for r in out) == gone
+    assert {r["doc_id"] for r in out if not r["n_dropped"]} == {0, 100}
+
+
+def test_all_templates_of_crowded_leaves(spark):
+    """Many templates share leaves and fields, some of them with a field that varies."""
+    draw = random.Random(11)
+    words = [letters(f"w{k}") for k in range(60)]
+    notices = []
+    for k in range(24):
+        rest = [draw.choice(words[:12]) for _ in range((1, 4, 8, 11)[k % 4])]
+        notices.append(["click", "here", "to", *rest])
+    rows = []
+    for doc in range(150):
+        lines = []
+        for _ in range(draw.randrange(1, 9)):
+            line = list(draw.choice(notices[: draw.choice((6, 24))]))
+            if draw.random() < 0.5:
+                line[draw.randrange(3, len(line))] = draw.choice(words)
+            lines.append(" ".join(line))
+        rows.append((doc, "\n".join(lines), "", "", 0))
+    rows += [(7, rows[9][1], "", "", 0), (None, rows[3][1], "", "", 0), (900, None, "", "", 0)]
+    docs = frame(spark, rows)
+    parsed = parsed_lines(docs).collect()
+    want = plain_all_templates(parsed, 10, 60)
+    got = {(r["doc_id"], r["mark"]): set(r["dropped"]) for r in template_lines(docs, 10, 60).collect()}
+    assert got == want
+    total = sum(map(len, want.values()))
+    assert total > 1.2 * sum(map(len, plain_templates(parsed, 10, 60).values()))
