@@ -383,3 +383,90 @@ def test_all_templates_of_crowded_leaves(spark):
     assert got == want
     total = sum(map(len, want.values()))
     assert total > 1.2 * sum(map(len, plain_templates(parsed, 10, 60).values()))
+
+
+COMMON, RARE = ([f"{x}{k}" for k in range(8)] for x in "ab")
+
+
+def mostly_common(spark):
+    """600 documents of a common passage but for three of a rare one, and both as a benchmark."""
+    rows = [(k, " ".join(RARE if k % 200 == 77 else COMMON), "en", "s", 0) for k in range(600)]
+    benchmark = [(0, " ".join(COMMON)), (1, " ".join(RARE))]
+    return frame(spark, rows), spark.createDataFrame(benchmark, "item_id long, text string")
+
+
+def fitted_share(items, idf, group, axes):
+    """How much of the rare passage's direction the first two fitted axes hold."""
+    vocabulary = decontamination._vocabulary(items, group)
+    rare = np.isin(vocabulary, [items.words[w.encode()] for w in RARE]) * idf[vocabulary]
+    return np.linalg.norm(rare / np.linalg.norm(rare) @ axes[:, :2])
+
+
+@pytest.fixture
+def placed(monkeypatch):
+    """Shares that the fits of a test have found; the fit has the documents' passages only."""
+    shares = []
+
+    def place(items, idf, group, axes, place=decontamination.place_items):
+        shares.append(fitted_share(items, idf, group, axes))
+        return place(items, idf, group, axes)
+
+    monkeypatch.setattr(decontamination, "place_items", place)
+    monkeypatch.setattr(decontamination, "FIT_DOCS", 20)
+    monkeypatch.setattr(decontamination, "ITEM_WEIGHT", 0.0)
+    return shares
+
+
+def test_spaces_are_fitted_on_every_document(spark, placed):
+    """A passage of three documents among 600 has its axis: no document is left out of the fit."""
+    docs, benchmark = mostly_common(spark)
+    items = decontamination.read_items(sorted(map(tuple, benchmark.collect())))
+    decontamination.latent_spaces(docs, items, rank=2)
+    assert placed == [pytest.approx(1.0)]
+
+
+def test_cross_products_and_axes(spark, monkeypatch):
+    """Sums over parts of the groups and slices of the texts equal the plain matrix product."""
+    monkeypatch.setattr(decontamination, "FIT_HELD", 96)
+    monkeypatch.setattr(decontamination, "FIT_PASSAGES", 7)
+    monkeypatch.setattr(decontamination, "FIT_CELLS", 1)
+    monkeypatch.setattr(decontamination, "FIT_DOCS", 10**6)
+    benchmark = [(k, prose(40 + k, 10 + k % 9, 90)) for k in range(50)]
+    texts = [None, "", "none of these", *(prose(700 + k, 3 + 41 * (k % 9), 120) for k in range(60))]
+    items = decontamination.read_items(benchmark)
+    docs = frame(spark, [(k, t, "en", "s", 0) for k, t in enumerate(texts)])
+    codes = [items.code(t) for t in texts]
+    counts = np.zeros(len(items.words))
+    for c in codes:
+        counts[np.unique(c[c >= 0])] += 1
+    idf = np.log((1 + len(texts)) / (1 + counts)) + 0.1
+    parts = [c[k : k + 48] for c in codes for k in range(0, len(c), 48)]
+    for space in decontamination.latent_spaces(docs, items):
+        local = [space.local(c, len(idf)) for c in parts]
+        rows = decontamination._unit_rows([c[c >= 0] for c in local if (c >= 0).any()], idf[space.vocabulary])
+        own = [space.local(items.codes[i], len(idf)) for i in space.which]
+        own = decontamination._unit_rows(own, idf[space.vocabulary])
+        total = rows.T @ rows + decontamination.ITEM_WEIGHT**2 * (own.T @ own)
+        axes = space.words[:, : decontamination.RANK] / idf[space.vocabulary][:, None]
+        held = np.trace(axes.T @ total @ axes)
+        best = np.sort(np.linalg.eigvalsh(total))[::-1][: axes.shape[1]].sum()
+        assert held == pytest.approx(best, rel=1e-5)
+
+
+def test_bound_before_the_projection_loses_no_candidate(spark):
+    draw = random.Random(3)
+    items = decontamination.read_items([(k, prose(60 + k, 8 + k, 200)) for k in range(40)])
+    docs = []
+    for k in range(200):
+        words = prose(k % 40 + 60, 8 + k % 40, 200).split()
+        words = [w if draw.random() < 0.8 else "other" for w in words]
+        docs.append(items.code(f"{prose(2000 + k, 70, 300)} {' '.join(words)} {prose(4000 + k, 50, 300)}"))
+    idf = np.linspace(0.2, 5, len(items.words))
+    order = np.argsort([len(c) for c in items.codes], kind="stable")
+    none = [np.zeros((len(decontamination._vocabulary(items, g)), 1)) for g in (order[:20], order[20:])]
+    spaces = [decontamination.place_items(items, idf, g, x) for g, x in zip((order[:20], order[20:]), none, strict=True)]
+    found = decontamination.leaks(docs, items, spaces)
+    for space in spaces:
+        space.screens = [np.full_like(x, np.inf) for x in space.screens]
+    assert found == decontamination.leaks(docs, items, spaces)
+    assert sum(map(bool, found)) > 100
