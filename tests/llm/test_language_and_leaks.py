@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from loadcast.llm import decontamination, language
 from loadcast.llm.decontamination import common_length, confirmed, find_leaks, fold
 from loadcast.llm.language import fit, identify
@@ -425,6 +426,28 @@ def test_spaces_are_fitted_on_every_document(spark, placed):
     assert placed == [pytest.approx(1.0)]
 
 
+def test_pipeline_decontaminates_by_every_document(spark, folder, placed):
+    docs, benchmark = mostly_common(spark)
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    out = corpus_pipeline.decontaminate(spark, docs, folder)
+    assert out.count() == 0 and placed == [pytest.approx(1.0)]
+
+
+def test_every_block_is_fitted_on_the_documents_themselves(spark, monkeypatch):
+    seen = []
+
+    def spaces(docs, items, rank, fit=decontamination.latent_spaces):
+        seen.append(docs)
+        return fit(docs, items, rank)
+
+    monkeypatch.setattr(decontamination, "BLOCK", 1)
+    monkeypatch.setattr(decontamination, "latent_spaces", spaces)
+    docs, benchmark = mostly_common(spark)
+    found = {r["doc_id"]: r["leaked_items"] for r in find_leaks(docs, benchmark).collect()}
+    assert all(found[k] == ([1] if k % 200 == 77 else [0]) for k in range(600))
+    assert len(seen) == 2 and not any("MapInArrow" in x._jdf.queryExecution().toString() for x in seen)
+
+
 def test_cross_products_and_axes(spark, monkeypatch):
     """Sums over parts of the groups and slices of the texts equal the plain matrix product."""
     monkeypatch.setattr(decontamination, "FIT_HELD", 96)
